@@ -1,5 +1,18 @@
 from __future__ import annotations
 
-from quernstone.plans.registry import Registry
+from quernstone.operators.packed_fields import explode_packed
+from quernstone.plans.registry import Registry, table
 
 REGISTRY = Registry()
+
+
+@REGISTRY.add("p2_found")
+def p2_found(spark, folder):
+    """Each value of an ``affected`` field that packs two or more."""
+    return explode_packed(table(spark, folder, "incidents"), "id", "affected", "received_at").where("items >= 2").select("id", "pos", "item")
+
+
+@REGISTRY.add("p2_all_values")
+def p2_all_values(spark, folder):
+    """Each value of every ``affected`` field, with the number of values beside it."""
+    return explode_packed(table(spark, folder, "incidents"), "id", "affected", "received_at")

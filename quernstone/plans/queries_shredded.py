@@ -1,5 +1,52 @@
 from __future__ import annotations
 
-from quernstone.plans.registry import Registry
+from quernstone.operators.nested_records import element_table, shred_records
+from quernstone.plans.registry import Registry, table
 
 REGISTRY = Registry()
+
+_SQL = r"""
+    WITH once AS (
+        SELECT record_id, TRY_CAST(ltrim(trim(payload), chr(65279)) AS JSON) AS j FROM cve_records
+    ), plain AS (
+        SELECT record_id, CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST(ltrim(j ->> '$', chr(65279)) AS JSON) ELSE j END AS j FROM once
+    ), single AS (
+        SELECT record_id, CASE WHEN json_type(j) = 'ARRAY' THEN j -> 0 ELSE j END AS j FROM plain
+    ), bare AS (
+        SELECT record_id, CASE WHEN json_type(j) <> 'OBJECT' THEN NULL WHEN json_exists(j, '$.containers') THEN j ELSE coalesce(j -> 'data', j -> 'record') END AS j FROM single
+    ), boxes AS (
+        SELECT record_id, 'cna' AS container, 0 AS container_pos, j -> 'containers' -> 'cna' AS c FROM bare
+        UNION ALL SELECT record_id, 'adp', 0, j -> 'containers' -> 'adp' FROM bare WHERE json_type(j -> 'containers' -> 'adp') = 'OBJECT'
+        UNION ALL SELECT record_id, 'adp', p - 1, a -> (p - 1) FROM (
+            SELECT record_id, a, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM (
+                SELECT record_id, j -> 'containers' -> 'adp' AS a FROM bare WHERE json_type(j -> 'containers' -> 'adp') = 'ARRAY'))
+    ), kinds AS (SELECT * FROM (VALUES ('description', 'descriptions'), ('affected', 'affected'), ('reference', 'references'), ('metric', 'metrics'), ('types', 'problemTypes')) v(kind, name)
+    ), lists AS (
+        SELECT record_id, container, container_pos, kind, json_extract(c, name) AS a FROM boxes CROSS JOIN kinds WHERE json_type(c) = 'OBJECT'
+    ), items AS (
+        SELECT record_id, container, container_pos, kind, p - 1 AS item_pos, a -> (p - 1) AS e FROM (
+            SELECT *, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM lists WHERE json_type(a) = 'ARRAY')
+    ), subs AS (
+        SELECT record_id, container, container_pos, kind, item_pos, p - 1 AS sub_pos, a -> (p - 1) AS e FROM (
+            SELECT *, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM (
+                SELECT record_id, container, container_pos, 'version' AS kind, item_pos, e -> 'versions' AS a FROM items WHERE kind = 'affected'
+                UNION ALL SELECT record_id, container, container_pos, 'problem', item_pos, e -> 'descriptions' FROM items WHERE kind = 'types')
+            WHERE json_type(a) = 'ARRAY')
+    ), found AS (
+        SELECT record_id, container, container_pos, kind, item_pos, -1 AS sub_pos FROM items WHERE kind <> 'types' AND json_type(e) <> 'NULL'
+        UNION ALL SELECT record_id, container, container_pos, kind, item_pos, sub_pos FROM subs WHERE json_type(e) <> 'NULL'
+        UNION ALL SELECT record_id, container, container_pos, 'title', -1, -1 FROM boxes WHERE json_type(c -> 'title') = 'VARCHAR' AND trim(c ->> 'title') <> ''
+    )
+"""
+
+
+@REGISTRY.add("p6_found", _SQL + "SELECT record_id, container, container_pos::INT AS container_pos, kind, item_pos::INT AS item_pos, sub_pos::INT AS sub_pos FROM found")
+def p6_found(spark, folder):
+    """Every element of every readable payload, by its place."""
+    return shred_records(table(spark, folder, "cve_records")).drop("cve_id", "attributes")
+
+
+@REGISTRY.add("p6_versions")
+def p6_versions(spark, folder):
+    """The flat table of affected versions, each with record, container and parent element."""
+    return element_table(shred_records(table(spark, folder, "cve_records")), "version")
