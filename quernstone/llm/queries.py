@@ -31,12 +31,12 @@ def _near_duplicates(spark, folder):
     ), sizes AS (
         SELECT id, sum(n) AS size FROM words GROUP BY id
     ), common AS (
-        SELECT a.id AS id_a, b.id AS id_b, sum(least(a.n, b.n)) AS both
+        SELECT a.id AS id_a, b.id AS id_b, sum(least(a.n, b.n)) AS shared
         FROM words a JOIN words b ON a.word = b.word AND a.id < b.id GROUP BY a.id, b.id
     )
     SELECT id_a, id_b FROM common
     JOIN sizes x ON x.id = id_a JOIN sizes y ON y.id = id_b
-    WHERE both >= 0.75 * greatest(x.size, y.size)
+    WHERE shared >= 0.75 * greatest(x.size, y.size)
     """,
 )
 def p1_found(spark, folder):
