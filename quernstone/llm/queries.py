@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quernstone.functions.identifiers import identifiers
+from quernstone.llm.components import connected_components, ties_of_values
 from quernstone.llm.near_duplicates import near_duplicates
 from quernstone.plans.registry import Registry, table
 
@@ -42,3 +44,32 @@ def _near_duplicates(spark, folder):
 def p1_found(spark, folder):
     """Pairs of incident records whose title and description are at least 0.75 alike."""
     return _near_duplicates(spark, folder).pairs().select("id_a", "id_b")
+
+
+_TIES = r"""
+    held AS (
+        SELECT DISTINCT id, v FROM (
+            SELECT id, upper(trim(regexp_replace(unnest(list_concat(coalesce(cve_ids, []), coalesce(source_ids, []))), '[‐‑‒–—―−﹘﹣－]', '-', 'g'))) AS v FROM incidents)
+        WHERE v NOT IN ('', 'N/A', 'NONE', 'UNKNOWN', 'TBD')
+          AND NOT (starts_with(v, 'CVE-') AND NOT (regexp_full_match(v, 'CVE-[0-9]{4}-[0-9]{4,}') AND NOT regexp_full_match(v, 'CVE-[0-9]{4}-0+')))
+    ), ties AS (
+        SELECT DISTINCT a.id AS a, b.id AS b FROM held a JOIN held b ON a.v = b.v AND a.id <> b.id
+    )
+"""
+
+
+@REGISTRY.add(
+    "p7_found",
+    "WITH RECURSIVE "
+    + _TIES
+    + """, reach(id, other) AS (
+        SELECT a, b FROM ties
+        UNION SELECT r.id, t.b FROM reach r JOIN ties t ON t.a = r.other
+    )
+    SELECT id, least(id, min(other)) AS group_id FROM reach GROUP BY id
+    """,
+)
+def p7_found(spark, folder):
+    """The group of every incident record that shares an identifier with another one, directly or not."""
+    incidents = table(spark, folder, "incidents")
+    return connected_components(ties_of_values(incidents, "id", identifiers("cve_ids", "source_ids")))
