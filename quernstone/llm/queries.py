@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions.identifiers import identifiers
 from quernstone.llm.components import connected_components, ties_of_values
+from quernstone.llm.linkage import entities, link_entities
 from quernstone.llm.near_duplicates import near_duplicates
 from quernstone.plans.registry import Registry, table
 
@@ -73,3 +74,21 @@ def p7_found(spark, folder):
     """The group of every incident record that shares an identifier with another one, directly or not."""
     incidents = table(spark, folder, "incidents")
     return connected_components(ties_of_values(incidents, "id", identifiers("cve_ids", "source_ids")))
+
+
+def _linked(spark, folder):
+    incidents = entities(table(spark, folder, "incidents"), "id", "title", "date", F.col("references.url"), "received_at")
+    reports = entities(table(spark, folder, "reports"), "report_id", "headline", "occurred", F.col("links"), "received_at")
+    return link_entities(incidents, reports).select(F.col("left_id").alias("incident_id"), F.col("right_id").alias("report_id"), "confidence")
+
+
+@REGISTRY.add("p3_found")
+def p3_found(spark, folder):
+    """Reports with the incident record that they tell of."""
+    return _linked(spark, folder).select("incident_id", "report_id")
+
+
+@REGISTRY.add("p3_confidence")
+def p3_confidence(spark, folder):
+    """The same pairs with their confidence."""
+    return _linked(spark, folder)
