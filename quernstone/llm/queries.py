@@ -8,6 +8,7 @@ from quernstone.functions.identifiers import identifiers
 from quernstone.llm.components import connected_components, ties_of_values
 from quernstone.llm.linkage import entities, link_entities
 from quernstone.llm.near_duplicates import near_duplicates
+from quernstone.llm.truncation import truncated_texts, truncation_rates
 from quernstone.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -92,3 +93,15 @@ def p3_found(spark, folder):
 def p3_confidence(spark, folder):
     """The same pairs with their confidence."""
     return _linked(spark, folder)
+
+
+@REGISTRY.add("p10_found")
+def p10_found(spark, folder):
+    """Documents whose text was cut inside a word or sentence."""
+    return truncated_texts(table(spark, folder, "documents"), "doc_id", "text", "source").where("truncated").select(F.col("id").alias("doc_id"))
+
+
+@REGISTRY.add("p10_rates")
+def p10_rates(spark, folder):
+    """How often each source truncates."""
+    return truncation_rates(truncated_texts(table(spark, folder, "documents"), "doc_id", "text", "source"))
