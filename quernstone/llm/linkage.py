@@ -1,7 +1,7 @@
 """Matching entities across two tables without a common key.
 
-Candidates come from blocks: a link that both cite, or a few rare words that both use within
-compatible months.  Voters look at links, words, rare words, numbers and dates of each candidate; the
+Candidates come from blocks: a link that both cite, unless very many do, or a few rare words that both
+use within compatible months.  Voters look at links, words, rare words, numbers and dates of each candidate; the
 label model turns their answers into a posterior, and each entity of the right table goes to its most
 probable partner.
 """
@@ -17,15 +17,17 @@ from quernstone.functions import textscan
 from quernstone.functions.dates import day_range, days_apart
 from quernstone.functions.urls import normalize_url
 from quernstone.llm.label_model import LabelModel, State
-from quernstone.llm.near_duplicates import LEAST_SHARE, block_keys
+from quernstone.llm.near_duplicates import LEAST_SHARE
 from quernstone.plans.lineage import Cut, cut
 from quernstone.plans.reducer import Reducer
 
 #: A page that this many records cite, or this share of them if more, says little by itself.
 HUB_RECORDS, HUB_SHARE = 12, 2e-5
 WORD_RECORDS = 12
-#: Rare words that make a block together with a hub page.
-HUB_WORDS = 4
+#: Rarest words of a text that make blocks, two or three together.
+KEY_WORDS = 6
+#: Rows that two words alone may be expected to meet in before a third joins them.
+EXPECTED_ROWS = 0.5
 #: Days by which a partner's date may lie outside the months of the other one.
 MARGIN_DAYS = 16
 CONFIDENT = 0.5
@@ -72,6 +74,34 @@ def _months(side: str) -> Column:
     return F.when(F.col("day").isNotNull(), F.array_append(spans, F.lit(0) if side == "left" else F.lit(-1))).otherwise(F.array(F.lit(-1), F.lit(0))).alias("months")
 
 
+def word_keys(starts: np.ndarray, sizes: np.ndarray, words: np.ndarray, records: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and key: each uncounted word alone, and every two of a row's rarest words together, with
+    a third where the two alone are expected to meet in more than EXPECTED_ROWS of n rows."""
+    row = np.repeat(np.arange(len(starts)), sizes)
+    order = np.lexsort((words, records, row))
+    place = np.arange(len(words)) - np.repeat(starts, sizes)
+    word = np.zeros((len(starts), KEY_WORDS), np.uint64)
+    count = np.full((len(starts), KEY_WORDS), -1, np.int64)
+    top = place < KEY_WORDS
+    word[row[top], place[top]], count[row[top], place[top]] = words[order][top], records[order][top]
+    who = np.arange(len(starts))
+    single = count == 0
+    rows, keys = [np.repeat(who, single.sum(1))], [textscan.mix64(word[single])]
+    for i in range(KEY_WORDS):
+        for j in range(i + 1, KEY_WORDS):
+            both = (count[:, i] > 0) & (count[:, j] > 0)
+            key = textscan.mix64(word[:, i] + textscan.mix64(word[:, j]))
+            expected = count[:, i] / n * count[:, j]
+            fine = both & (expected <= EXPECTED_ROWS)
+            rows.append(who[fine])
+            keys.append(key[fine])
+            for k in range(j + 1, KEY_WORDS):
+                more = both & ~fine & (count[:, k] > 0)
+                rows.append(who[more])
+                keys.append(textscan.mix64(word[more, k] + textscan.mix64(key[more])))
+    return np.concatenate(rows), np.concatenate(keys)
+
+
 def _count_words(batches):
     for batch in batches:
         found = [np.zeros(0, np.uint64)]
@@ -113,14 +143,14 @@ def _expand(keys: np.ndarray, rows: np.ndarray, lists: list) -> tuple[np.ndarray
 
 
 def _block_rows(common, wanted=None):
-    """(key, id) of an entity's blocks.  Rows in: id, text, hashes of plain links, hashes of hub links, months."""
+    """(key, id) of an entity's blocks.  Rows in: id, text, hashes of links other than hubs, months."""
 
     def run(batches):
         words_of = common.value
         for batch in batches:
             for first in range(0, batch.num_rows, 4_000):
                 part = batch.slice(first, 4_000)
-                texts, plain, hubs, months = (part.column(i).to_pylist() for i in range(1, 5))
+                texts, plain, months = (part.column(i).to_pylist() for i in range(1, 4))
                 keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for begin, _, docs, words in textscan.word_bags(texts):
                     if not len(docs):
@@ -131,17 +161,10 @@ def _block_rows(common, wanted=None):
                     sizes = np.diff(np.append(starts, len(docs)))
                     who = docs[starts] + begin
                     records = words_of.look_up(words)
-                    row, key = block_keys(starts, sizes, words, records, words_of.records)
+                    row, key = word_keys(starts, sizes, words, records, words_of.records)
                     key, row = _expand(key, who[row], months)
                     keys.append(key)
                     rows.append(row)
-                    if any(hubs[i] for i in who):
-                        order = np.lexsort((words, records, np.repeat(np.arange(len(starts)), sizes)))
-                        place = np.arange(len(words)) - np.repeat(starts, sizes)
-                        rare = np.flatnonzero(place < HUB_WORDS)
-                        key, row = _expand(words[order][rare], np.repeat(who, sizes)[rare], hubs)
-                        keys.append(key)
-                        rows.append(row)
                 links = np.fromiter((x for v in plain for x in v), np.int64)
                 keys.append(textscan.mix64(links.view(np.uint64)))
                 rows.append(np.repeat(np.arange(len(plain)), [len(v) for v in plain]).astype(np.int64))
@@ -234,10 +257,10 @@ def link_entities(left: DataFrame, right: DataFrame) -> DataFrame:
     left, right = Cut(hashed(left), "left").read(), Cut(hashed(right), "right").read()
 
     kinds = {side: df.schema["id"].dataType.simpleString() for side, df in (("left", left), ("right", right))}
-    of_right = right.select("id", "text", "plain", "hub", _months("right")).mapInArrow(_block_rows(common), f"key bigint, id {kinds['right']}").distinct()
+    of_right = right.select("id", "text", "plain", _months("right")).mapInArrow(_block_rows(common), f"key bigint, id {kinds['right']}").distinct()
     of_right = Cut(of_right, "blocks").read()
     wanted = spark.sparkContext.broadcast(Reducer(of_right, F.col("key")))
-    of_left = left.select("id", "text", "plain", "hub", _months("left")).mapInArrow(_block_rows(common, wanted), f"key bigint, id {kinds['left']}")
+    of_left = left.select("id", "text", "plain", _months("left")).mapInArrow(_block_rows(common, wanted), f"key bigint, id {kinds['left']}")
     pairs = of_right.withColumnRenamed("id", "right_id").join(of_left.withColumnRenamed("id", "left_id"), "key").select("left_id", "right_id").distinct()
 
     a = left.select(F.col("id").alias("left_id"), F.col("text").alias("left_text"), F.col("day").alias("left_day"), F.col("plain").alias("left_plain"), F.col("hub").alias("left_hub"))
