@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from quernstone.functions.identifiers import identifiers
 from quernstone.llm.components import connected_components, ties_of_values
 from quernstone.llm.linkage import entities, link_entities
+from quernstone.llm.mixing import mix_sources
 from quernstone.llm.near_duplicates import near_duplicates
+from quernstone.llm.packing import fill_rates, pack_texts
 from quernstone.llm.truncation import truncated_texts, truncation_rates
 from quernstone.plans.registry import Registry, table
 
@@ -105,3 +107,35 @@ def p10_found(spark, folder):
 def p10_rates(spark, folder):
     """How often each source truncates."""
     return truncation_rates(truncated_texts(table(spark, folder, "documents"), "doc_id", "text", "source"))
+
+
+def _packed(spark, folder):
+    return pack_texts(table(spark, folder, "documents"), table(spark, folder, "pack_limits"), "doc_id", "text", "source")
+
+
+@REGISTRY.add("p8_containers")
+def p8_containers(spark, folder):
+    """The container of each text, or piece of a long one, for each capacity."""
+    return _packed(spark, folder).withColumnRenamed("id", "doc_id")
+
+
+@REGISTRY.add("p8_fill")
+def p8_fill(spark, folder):
+    """How full the containers of each capacity are."""
+    return fill_rates(_packed(spark, folder))
+
+
+def _mix(spark, folder):
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), "doc_id", "text", "source")
+
+
+@REGISTRY.add("p9_draws")
+def p9_draws(spark, folder):
+    """Each mix's texts with their copies, in mixed order."""
+    return _mix(spark, folder).draws.withColumnRenamed("id", "doc_id")
+
+
+@REGISTRY.add("p9_shares")
+def p9_shares(spark, folder):
+    """Target and actual share of each source in each mix."""
+    return _mix(spark, folder).shares
