@@ -15,14 +15,21 @@ _PAGE = 32_768
 
 
 class Reducer:
-    def __init__(self, keys: DataFrame, key: Column) -> None:
-        slot = F.pmod(key, F.lit(1 << BITS))
+    def __init__(self, keys: DataFrame, key: Column, bits: int = BITS) -> None:
+        self.slots = 1 << bits
+        slot = F.pmod(key, F.lit(self.slots))
         pages = keys.select(slot.alias("slot")).groupBy(F.expr(f"slot div {_PAGE}").alias("page")).agg(F.bitmap_construct_agg(F.expr(f"slot % {_PAGE}")).alias("bits")).collect()
-        self.bits = np.zeros((1 << BITS) // 8, np.uint8)
+        self.bits = np.zeros(self.slots // 8, np.uint8)
         for page, bits in pages:
             self.bits[page * _PAGE // 8 : (page + 1) * _PAGE // 8] = np.frombuffer(bits, np.uint8)
 
     def may_hold(self, keys: np.ndarray) -> np.ndarray:
         """For each 64-bit key whether it may be wanted; true for every key that is."""
-        slot = keys.view(np.int64) & ((1 << BITS) - 1)
+        slot = keys.view(np.int64) & (self.slots - 1)
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+    def keeps(self, key: Column) -> Column:
+        """The same test as a column, for reducers of up to 2**20 slots, whose bits go into the plan."""
+        slot = F.pmod(key, F.lit(self.slots))
+        byte = F.substring(F.lit(bytearray(self.bits.tobytes())), (F.shiftright(slot, 3) + 1).cast("int"), F.lit(1))
+        return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(slot, F.lit(8)).cast("int")) == 1
