@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from quernstone.functions.dates import day_range
 from quernstone.functions.identifiers import identifiers
 from quernstone.llm.components import connected_components, ties_of_values
 from quernstone.llm.linkage import entities, link_entities
 from quernstone.llm.mixing import mix_sources
 from quernstone.llm.near_duplicates import near_duplicates
 from quernstone.llm.packing import fill_rates, pack_texts
+from quernstone.llm.survivors import Bundle, Dependency, surviving_records
 from quernstone.llm.truncation import truncated_texts, truncation_rates
+from quernstone.plans.lineage import cut
+from quernstone.plans.reducer import Reducer
 from quernstone.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -139,3 +143,54 @@ def p9_draws(spark, folder):
 def p9_shares(spark, folder):
     """Target and actual share of each source in each mix."""
     return _mix(spark, folder).shares
+
+
+#: How far a record's text, rating, references and tags are trusted by the care its feed took.
+_CARE = {"curated": 1.0, "reviewed": 0.7, "auto": 0.4}
+_SEVERITIES = ["Critical", "High", "Medium", "Low", "Info"]
+
+
+def incident_bundles() -> tuple[list[Bundle], list[Dependency]]:
+    """Text, severity, score, kind, tags and references of incident records.
+
+    Trust is half completeness, three tenths the feed's care, two tenths recency.  A score must lie in the
+    band of the severity, and the attack vector that the tags name must be the record's kind.
+    """
+    care = F.coalesce(*(F.when(F.lower(F.trim("quality_tier")) == t, w) for t, w in _CARE.items()), F.lit(0.3))
+    age = F.datediff(day_range(F.coalesce("updated", "added", "date"))["last"], F.lit("2000-01-01").cast("date"))
+    recency = F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.coalesce(age / 20_000.0, F.lit(0.0))))
+    trust = lambda full, present: F.when(present, 0.5 * F.least(F.lit(1.0), full) + 0.3 * care + 0.2 * recency)
+    severity = F.initcap(F.lower(F.trim("severity")))
+    score = F.when(F.col("cvss_score").between(0.1, 10), F.col("cvss_score"))
+    band = F.when(score >= 9, "Critical").when(score >= 7, "High").when(score >= 4, "Medium").otherwise("Low")
+    vector = F.lower(F.trim("attack_vector"))
+    tags = F.array_distinct(F.filter(F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda t: F.lower(F.trim(t))), lambda t: (t != "") & t.isNotNull()))
+    references = F.filter(F.coalesce("references", F.array().cast("array<struct<title:string,url:string,type:string>>")), lambda r: F.length(F.trim(r["url"])) > 0)
+    none = F.lit(None).cast("string")
+    bundles = [
+        Bundle("text", F.struct("title", "description"), trust(F.length("description") / 2_000.0, F.col("description").rlike(NOT_BLANK)), none, 2.0),
+        Bundle("severity", severity, trust(F.lit(1.0), severity.isin(_SEVERITIES)), severity),
+        Bundle("score", score, trust(F.lit(1.0), score.isNotNull()), band, 0.8),
+        Bundle("kind", F.struct("category", vector.alias("attack_vector")), trust(F.when(vector == "other", 0.2).otherwise(1.0), vector != ""), vector),
+        Bundle("tags", tags, trust(F.size(tags) / 8.0, F.size(tags) > 0), F.when(F.array_contains(tags, vector), vector)),
+        Bundle("references", references, trust(F.size(references) / 6.0, F.size(references) > 0), none),
+    ]
+    dependencies = [
+        Dependency("severity", "score", lambda severity, band: severity == band),
+        Dependency("kind", "tags", lambda vector, named: named is None or named == vector),
+    ]
+    return bundles, dependencies
+
+
+@REGISTRY.add("p4_survivors")
+def p4_survivors(spark, folder):
+    """The surviving record of each group of copies and of records that share an identifier."""
+    incidents = table(spark, folder, "incidents")
+    copies = _near_duplicates(spark, folder).edges().select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    groups = cut(connected_components(copies.union(ties_of_values(incidents, "id", identifiers("cve_ids", "source_ids")))), "groups")
+    # Only rows of grouped ids need to move; the join below is exact.
+    wanted = Reducer(groups, F.xxhash64("id"), 20)
+    fields = ["title", "description", "severity", "cvss_score", "category", "attack_vector", "tags", "references", "quality_tier", "updated", "added", "date"]
+    rows = incidents.where(wanted.keeps(F.xxhash64("id"))).select("id", "received_at", F.struct(*fields).alias("v"))
+    latest = rows.groupBy("id").agg(F.max_by("v", "received_at").alias("v")).join(groups, "id").select("id", "group_id", "v.*")
+    return surviving_records(latest, "id", "group_id", *incident_bundles())
