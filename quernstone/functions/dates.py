@@ -49,3 +49,40 @@ def _month_or_null(name: Column) -> Column:
 def days_apart(a: Column, b: Column) -> Column:
     """Days between two ranges; 0 if they overlap, null if one is unknown."""
     return F.greatest(F.lit(0), F.datediff(a["first"], b["last"]), F.datediff(b["first"], a["last"]))
+
+
+def precision(text: Column) -> Column:
+    """3 for a day, 2 for a month, 1 for a year in ISO form, 0 for anything else."""
+    t = F.coalesce(F.trim(text), F.lit(""))
+    return F.when(t.rlike("^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), 3).when(t.rlike("^[0-9]{4}-[0-9]{2}$"), 2).when(t.rlike("^[0-9]{4}$"), 1).otherwise(0)
+
+
+def is_iso_day(text: Column) -> Column:
+    """Whether the text is a real day in ISO form."""
+    return F.coalesce(F.date_format(text.try_cast("date"), "yyyy-MM-dd") == text, F.lit(False))
+
+
+def padded(text: Column, time: str = "T00:00:00.000Z") -> Column:
+    """A rough ISO date as the first instant it may mean; null where the date can't be read."""
+    p = precision(text)
+    t = F.trim(text)
+    return F.when(p == 3, F.concat(t, F.lit(time))).when(p == 2, F.concat(t, F.lit(f"-01{time}"))).when(p == 1, F.concat(t, F.lit(f"-01-01{time}")))
+
+
+def newest_first(text: Column) -> list[Column]:
+    """Sort keys: later periods first, and within a period its rougher dates after its days."""
+    parts = F.split(F.coalesce(text, F.lit("")), "-")
+    number = lambda i: F.coalesce(F.get(parts, F.lit(i)).try_cast("int"), F.lit(0))
+    return [number(0).desc(), number(1).desc(), number(2).desc()]
+
+
+def better_date(old: Column, new: Column, as_of_year: int) -> Column:
+    """The date to keep of two: a future one gives way, then the more precise one wins, else the old."""
+    future = lambda c: F.coalesce(F.substring(c, 1, 4).try_cast("int"), F.lit(0)) > as_of_year
+    take = (future(old) & ~future(new) & (precision(new) > 0)) | (~future(new) & (precision(new) > precision(old)))
+    return F.when(old.isNull() | take, F.coalesce(new, old)).otherwise(old)
+
+
+def first_year(text: Column) -> Column:
+    """The first year from 1900 to 2099 in a text."""
+    return F.regexp_extract(text, "(?:^|[^0-9])((?:19|20)[0-9]{2})(?:[^0-9]|$)", 1).try_cast("int")

@@ -7,6 +7,7 @@ It only spares the shuffle rows that a later exact join would drop anyway.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +29,14 @@ class Reducer:
         slot = keys.view(np.int64) & (self.slots - 1)
         return (self.bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
-    def keeps(self, key: Column) -> Column:
-        """The same test as a column, for reducers of up to 2**20 slots, whose bits go into the plan."""
-        slot = F.pmod(key, F.lit(self.slots))
-        byte = F.substring(F.lit(bytearray(self.bits.tobytes())), (F.shiftright(slot, 3) + 1).cast("int"), F.lit(1))
-        return F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), F.pmod(slot, F.lit(8)).cast("int")) == 1
+    def keep(self, df: DataFrame, key: Column) -> DataFrame:
+        """The rows whose key may be wanted, dropped batch by batch before any shuffle."""
+        held = df.sparkSession.sparkContext.broadcast(self)
+        schema = df.schema
+
+        def run(batches):
+            for batch in batches:
+                mask = pa.array(held.value.may_hold(batch.column(batch.num_columns - 1).to_numpy()))
+                yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(mask)
+
+        return df.select("*", key.alias("_key")).mapInArrow(run, schema)
