@@ -17,7 +17,10 @@ MOST_ROUNDS = 100
 
 def record_keys(rows: DataFrame) -> DataFrame:
     """(seq, kind, key) of rows with seq and the arrays cve, source, url and the string title; each once."""
-    per = F.array(*(F.transform(arrays.strings(F.col(k)), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x.alias("key"))) for k in KINDS[:3]), F.when(F.col("title") != "", F.array(F.struct(F.lit("title").alias("kind"), F.col("title").alias("key")))))
+    def named(kind: str) -> Column:
+        return F.transform(arrays.strings(F.col(kind)), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+
+    per = F.array(*(named(k) for k in KINDS[:3]), F.when(F.col("title") != "", F.array(F.struct(F.lit("title").alias("kind"), F.col("title").alias("key")))))
     return rows.select("seq", F.explode(F.flatten(F.array_compact(per))).alias("k")).select("seq", "k.kind", "k.key").distinct()
 
 
