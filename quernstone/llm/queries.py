@@ -23,9 +23,9 @@ REGISTRY = Registry()
 NOT_BLANK = r"(?U)\S"
 
 
-def _near_duplicates(spark, folder):
+def _near_duplicates(spark, folder, complete=True):
     incidents = table(spark, folder, "incidents")
-    return near_duplicates(incidents, "id", ["title", "description"], "received_at", F.col("description").rlike(NOT_BLANK))
+    return near_duplicates(incidents, "id", ["title", "description"], "received_at", F.col("description").rlike(NOT_BLANK), complete=complete)
 
 
 @REGISTRY.add(
@@ -54,6 +54,13 @@ def p1_found(spark, folder):
     return _near_duplicates(spark, folder).pairs().select("id_a", "id_b")
 
 
+@REGISTRY.add("p1_groups")
+def p1_groups(spark, folder):
+    """The group of each record that is a copy or near-copy of another one."""
+    edges = _near_duplicates(spark, folder, complete=False).edges()
+    return connected_components(edges, "id_a", "id_b")
+
+
 _TIES = r"""
     held AS (
         SELECT DISTINCT id, v FROM (
@@ -186,11 +193,11 @@ def incident_bundles() -> tuple[list[Bundle], list[Dependency]]:
 def p4_survivors(spark, folder):
     """The surviving record of each group of copies and of records that share an identifier."""
     incidents = table(spark, folder, "incidents")
-    copies = _near_duplicates(spark, folder).edges().select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
+    copies = _near_duplicates(spark, folder, complete=False).edges().select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     groups = cut(connected_components(copies.union(ties_of_values(incidents, "id", identifiers("cve_ids", "source_ids")))), "groups")
     # Only rows of grouped ids need to move; the join below is exact.
-    wanted = Reducer(groups, F.xxhash64("id"), 20)
+    wanted = Reducer(groups, F.xxhash64("id"))
     fields = ["title", "description", "severity", "cvss_score", "category", "attack_vector", "tags", "references", "quality_tier", "updated", "added", "date"]
-    rows = incidents.where(wanted.keeps(F.xxhash64("id"))).select("id", "received_at", F.struct(*fields).alias("v"))
+    rows = wanted.keep(incidents.select("id", "received_at", *fields), F.xxhash64("id")).select("id", "received_at", F.struct(*fields).alias("v"))
     latest = rows.groupBy("id").agg(F.max_by("v", "received_at").alias("v")).join(groups, "id").select("id", "group_id", "v.*")
     return surviving_records(latest, "id", "group_id", *incident_bundles())

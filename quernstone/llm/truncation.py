@@ -35,10 +35,12 @@ PREFIXES = (1, 2, 3, 4, 5, 6)
 RUNS_ON = 0.5
 #: Key of an ending inside an open code block.
 BLOCK = "```"
-#: An ending after a mark is a standing phrase from this share of all marked endings on.
-STANDING_SHARE, STANDING_TEXTS = 0.02, 3
+#: An ending after a mark is a standing phrase from this many words and this share of all marked endings on.
+STANDING_WORDS, STANDING_SHARE, STANDING_TEXTS = 3, 0.02, 3
 #: A length is a limit if this many texts of a source have it, and this many times as many as lengths near it.
 LIMIT_TEXTS, LIMIT_TIMES, NEAR = 5, 8.0, 40
+#: Shorter texts pile up at some lengths without any limit.
+LEAST_LIMIT = 120
 
 # Marks after a cut, closing notes, sentence ends.
 MARKS = re.compile(r"(?:\s*(?:\[(?:\.{2,}|…|more|continued|truncated|cut|snip)\]|\((?:\.{2,}|…|more|continued|truncated)\)|\.{3,}|…|(?i:\b(?:read more|continue reading|view more))\s*[»›>]*))+\s*$")
@@ -186,20 +188,27 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
 
     prefixes = scanned.where("prefix IS NOT NULL").groupBy("prefix").agg(F.sum("stops").alias("stops"), F.sum("opens").alias("opens"))
 
-    marked = ends.where("marked AND open <> ''")
+    marked = ends.where("marked AND open <> ''").where(F.size(F.split("open", r"\s+")) >= STANDING_WORDS)
     phrase = F.regexp_replace(F.lower("open"), "[0-9]+", "0")
     standing = marked.groupBy(phrase.alias("phrase")).count().join(marked.agg(F.count("*").alias("all")), how="cross").where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= STANDING_SHARE * F.col("all"))).select("phrase")  # one row of totals
 
+    opened = ends.where("open <> ''")
+    keyed = opened.join(prefixes.withColumnRenamed("prefix", "key"), "key", "left")
+    stops, opens = F.coalesce(F.col("stops"), F.lit(0)), F.coalesce(F.col("opens"), F.lit(0))
+    keyed = keyed.withColumn("runs_on", stops > RUNS_ON * (stops + opens)).withColumn("usual_end", F.col("first") & ~F.col("runs_on") & (opens > 1)).drop("stops", "opens")
+
     def limits(size: str) -> DataFrame:
         """Lengths at which a source's texts pile up: at most 1 / LIMIT_TEXTS of all, as a rule a few per source."""
         per = ends.groupBy("source", F.col(size).alias("size")).count()
         bins = per.select("source", F.explode(F.array((F.expr(f"size div {NEAR}")), F.expr(f"size div {NEAR}") - 1, F.expr(f"size div {NEAR}") + 1)).alias("bin"), "count").groupBy("source", "bin").agg(F.sum("count").alias("around"))
-        spikes = per.where(F.col("count") >= LIMIT_TEXTS).withColumn("bin", F.expr(f"size div {NEAR}"))
+        spikes = per.where((F.col("count") >= LIMIT_TEXTS) & (F.col("size") >= LEAST_LIMIT)).withColumn("bin", F.expr(f"size div {NEAR}"))
         near = spikes.alias("p").join(bins.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.bin") == F.col("b.bin")))
         usual = (F.col("around") - F.col("count")) / (3 * NEAR - 1)
-        return near.where(F.col("count") >= LIMIT_TIMES * usual + 1).select(F.col("p.source").alias("at"), F.col("size").alias(f"{size}_limit"))
+        piled = near.where(F.col("count") >= LIMIT_TIMES * usual + 1).select(F.col("p.source").alias("at"), F.col("size").alias(f"{size}_limit"))
+        # Texts of one pattern pile up too; at a limit, most ends are such as complete texts don't have.
+        odd = keyed.groupBy("source", size).agg(F.avg(F.col("usual_end").cast("int")).alias("usual_ends")).where("usual_ends < 0.5").select(F.col("source").alias("in"), F.col(size).alias("with"))
+        return piled.join(odd, F.col("at").eqNullSafe(F.col("in")) & (F.col(f"{size}_limit") == F.col("with")), "left_semi")
 
-    opened = ends.where("open <> ''")
     # Longer copies: beginnings that several texts have, with the lengths of the open texts among them.
     common = ends.where("beginning IS NOT NULL").groupBy("beginning").agg(F.count("*").alias("texts"), F.collect_set(F.when(F.col("whole").isNotNull(), F.col("used"))).alias("lengths")).where("texts > 1 AND size(lengths) > 0").select("beginning", "lengths")
     placed = ends.where("beginning IS NOT NULL").select("id", "beginning").join(common, "beginning").distinct()
@@ -208,15 +217,13 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
 
     char_limits, byte_limits = limits("chars"), limits("bytes")
     judged = (
-        opened.withColumn("phrase", phrase)
+        keyed.withColumn("phrase", phrase)
         .join(F.broadcast(standing.withColumn("standing", F.lit(True))), "phrase", "left")
-        .join(prefixes.withColumnRenamed("prefix", "key"), "key", "left")
         .join(copies, ["beginning", "used", "whole"], "left")
         .join(char_limits, F.col("source").eqNullSafe(F.col("at")) & (F.col("chars") == F.col("chars_limit")), "left")
         .drop("at")
         .join(byte_limits, F.col("source").eqNullSafe(F.col("at")) & (F.col("bytes") == F.col("bytes_limit")), "left")
     )
-    runs_on = F.coalesce(F.col("stops"), F.lit(0)) > RUNS_ON * (F.coalesce(F.col("stops"), F.lit(0)) + F.coalesce(F.col("opens"), F.lit(0)))
     why = (
         F.when(F.coalesce("standing", F.lit(False)) & F.col("marked"), F.lit(None))
         .when(F.col("runs"), "copy")
@@ -224,7 +231,7 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
         .when(F.col("chars_limit").isNotNull() | F.col("bytes_limit").isNotNull(), "limit")
         .when(F.col("key") == BLOCK, "block")
         .when(~F.col("first"), "sentence")
-        .when((F.col("key") != "") & runs_on, "sentence")
+        .when((F.col("key") != "") & F.col("runs_on"), "sentence")
     )
     verdicts = judged.select("id", "source", why.alias("why"))
     rest = ends.where("open = ''").select("id", "source", F.lit(None).cast("string").alias("why"))
