@@ -27,11 +27,12 @@ def allocate(strata: DataFrame, total: int) -> DataFrame:
 
     Ties go to the larger stratum, then to the smaller name.  ``strata`` has a row per stratum.
     """
-    whole = strata.agg(F.sum("size").alias("all"))
-    exact = strata.join(F.broadcast(whole), how="cross").withColumn("exact", F.lit(total) * F.col("size") / F.col("all")).withColumn("floor", F.floor("exact"))
-    left = exact.agg((F.lit(total) - F.sum("floor")).alias("left"))
+    exact = F.lit(total) * F.col("size") / strata.agg(F.sum("size")).scalar()
+    parts = strata.select("stratum", "size", exact.alias("exact")).withColumn("floor", F.floor("exact"))
+    left = F.lit(total) - parts.agg(F.sum("floor")).scalar()
     order = Window.orderBy(F.desc(F.round(F.col("exact") - F.col("floor"), 9)), F.desc("size"), "stratum")
-    return exact.withColumn("rank", F.row_number().over(order)).join(F.broadcast(left), how="cross").select("stratum", "size", (F.col("floor") + (F.col("rank") <= F.col("left")).cast("int")).cast("bigint").alias("quota"))
+    rank = F.row_number().over(order)
+    return parts.withColumn("rank", rank).select("stratum", "size", (F.col("floor") + (F.col("rank") <= left).cast("int")).cast("bigint").alias("quota"))
 
 
 def systematic(rows: DataFrame, quotas: DataFrame, order: list[str], seed: int) -> DataFrame:

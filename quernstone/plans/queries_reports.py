@@ -70,7 +70,7 @@ def coverage_sets(spark, folder):
     """How many of a population are observed."""
     products = table(spark, folder, "products").select("package")
     seen = incidents(spark, folder).select("package").join(products, "package", "left_semi").agg(F.count_distinct("package").alias("seen"))
-    return seen.join(products.agg(F.count("*").alias("population")), how="cross")  # one row each
+    return seen.withColumn("population", products.agg(F.count("*")).scalar())
 
 
 _LABEL = "CASE WHEN doc_id % 7 = 0 THEN NULL WHEN n_chars > 1000 THEN 1 ELSE 0 END"
