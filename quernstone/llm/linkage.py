@@ -252,8 +252,9 @@ def link_entities(left: DataFrame, right: DataFrame) -> DataFrame:
 
     cited = left.select(F.explode("urls").alias("url")).groupBy("url").count()
     # At most (links per record) / HUB_SHARE pages.
-    hubs = F.broadcast(cited.where(F.col("count") >= max(HUB_RECORDS, int(np.ceil(HUB_SHARE * n)))).select(F.xxhash64("url").alias("hub")).agg(F.array_sort(F.collect_set("hub")).alias("hubs")))
-    hashed = lambda df: df.withColumn("links", F.transform("urls", lambda u: F.xxhash64(u))).crossJoin(hubs).select("id", "text", "day", F.array_except("links", "hubs").alias("plain"), F.array_intersect("links", "hubs").alias("hub"))  # noqa: E731, one row of hubs
+    often_cited = cited.where(F.col("count") >= max(HUB_RECORDS, int(np.ceil(HUB_SHARE * n))))
+    hubs = often_cited.agg(F.array_sort(F.collect_set(F.xxhash64("url")))).scalar()
+    hashed = lambda df: df.withColumn("links", F.transform("urls", lambda u: F.xxhash64(u))).select("id", "text", "day", F.array_except("links", hubs).alias("plain"), F.array_intersect("links", hubs).alias("hub"))
     left, right = Cut(hashed(left), "left").read(), Cut(hashed(right), "right").read()
 
     kinds = {side: df.schema["id"].dataType.simpleString() for side, df in (("left", left), ("right", right))}

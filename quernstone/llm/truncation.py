@@ -190,7 +190,8 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
 
     marked = ends.where("marked AND open <> ''").where(F.size(F.split("open", r"\s+")) >= STANDING_WORDS)
     phrase = F.regexp_replace(F.lower("open"), "[0-9]+", "0")
-    standing = marked.groupBy(phrase.alias("phrase")).count().join(marked.agg(F.count("*").alias("all")), how="cross").where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= STANDING_SHARE * F.col("all"))).select("phrase")  # one row of totals
+    share = STANDING_SHARE * marked.agg(F.count("*")).scalar()
+    standing = marked.groupBy(phrase.alias("phrase")).count().where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= share)).select("phrase")
 
     opened = ends.where("open <> ''")
     keyed = opened.join(prefixes.withColumnRenamed("prefix", "key"), "key", "left")
