@@ -31,6 +31,8 @@ from quernstone.plans.lineage import Cut
 BEGINNING = 64
 #: Numbers of leading words under which a sentence is entered.
 PREFIXES = (1, 2, 3, 4, 5, 6)
+#: Sentences with the same beginning, the text's own among them, that make a beginning known.
+EVIDENCE = 2
 #: Share of full stops among sentences with the same beginning from which an open one counts as cut.
 RUNS_ON = 0.5
 #: Key of an ending inside an open code block.
@@ -53,11 +55,20 @@ CODE = re.compile(r"[0-9_/]")
 
 
 def _tokens(text: str, most: int) -> list[str]:
-    """The first words, names as X, numbers and code as 0, repetitions of either once."""
+    """The first words, names as X, numbers and code as 0, repetitions of either once.
+
+    A sentence's first word has a capital anyway: it is a name only if it is longer than an article and
+    the next word has a capital too.
+    """
     out: list[str] = []
-    for m in TOKEN.finditer(text, 0, 160):
-        w = m.group()
-        w = "0" if CODE.search(w) else "X" if w[0].isupper() and len(w) > 1 else w.lower()
+    raw = TOKEN.findall(text, 0, 160)
+    for i, w in enumerate(raw):
+        if CODE.search(w):
+            w = "0"
+        elif len(w) > 1 and w[0].isupper() and (i or len(w) > 3 and len(raw) > 1 and raw[1][0].isupper()):
+            w = "X"
+        else:
+            w = w.lower()
         if not (w in "0X" and out and out[-1] == w):
             out.append(w)
             if len(out) == most:
@@ -194,9 +205,16 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
     standing = marked.groupBy(phrase.alias("phrase")).count().where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= share)).select("phrase")
 
     opened = ends.where("open <> ''")
-    keyed = opened.join(prefixes.withColumnRenamed("prefix", "key"), "key", "left")
+    # Each ending by all its prefixes; the longest that enough sentences share decides.
+    columns = opened.columns
+    words = F.split("key", " ")
+    after_label = (F.array_position(words, ":") + 1).cast("int")  # a label before a colon says nothing by itself
+    lengths = F.when((F.col("key") == "") | (F.col("key") == BLOCK), F.array(F.lit(0))).otherwise(F.sequence(F.least(after_label, F.size(words)), F.size(words)))
+    tried = opened.groupBy(*columns).agg(F.count("*").alias("copies")).withColumn("length", F.explode(lengths)).withColumn("prefix", F.array_join(F.slice(words, 1, F.col("length")), " ")).join(prefixes, "prefix", "left")
+    known = F.when(F.col("stops") + F.col("opens") >= EVIDENCE, F.col("length"))
+    keyed = tried.groupBy(*columns, "copies").agg(F.max_by(F.struct("stops", "opens"), known).alias("e"), F.max(known).alias("depth")).select(*columns, "copies", "depth", "e.stops", "e.opens")
     stops, opens = F.coalesce(F.col("stops"), F.lit(0)), F.coalesce(F.col("opens"), F.lit(0))
-    keyed = keyed.withColumn("runs_on", stops > RUNS_ON * (stops + opens)).withColumn("usual_end", F.col("first") & ~F.col("runs_on") & (opens > 1)).drop("stops", "opens")
+    keyed = keyed.withColumn("runs_on", F.coalesce((stops > RUNS_ON * (stops + opens)) & (F.col("depth") >= 2), F.lit(False))).withColumn("usual_end", F.col("first") & (opens > 1) & (stops <= RUNS_ON * (stops + opens))).drop("stops", "opens", "depth")
 
     def limits(size: str) -> DataFrame:
         """Lengths at which a source's texts pile up: at most 1 / LIMIT_TEXTS of all, as a rule a few per source."""
@@ -234,7 +252,7 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
         .when(~F.col("first"), "sentence")
         .when((F.col("key") != "") & F.col("runs_on"), "sentence")
     )
-    verdicts = judged.select("id", "source", why.alias("why"))
+    verdicts = judged.select("id", "source", why.alias("why"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
     rest = ends.where("open = ''").select("id", "source", F.lit(None).cast("string").alias("why"))
     return verdicts.unionByName(rest).select("id", "source", F.col("why").isNotNull().alias("truncated"), "why")
 

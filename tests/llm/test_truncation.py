@@ -36,7 +36,7 @@ def corpus():
     for i in range(20):
         whole = " ".join(k.format(1000 + i * 7 + j) for j, k in enumerate(kinds))
         add(whole[: 100 + 3 * i], "cutter", True)
-        add(whole[: whole.rfind(" ", 0, 150 + i)] + " [...]", "press", True)
+        add(whole[: whole.rfind(" ", 0, 85 + 5 * i)] + " [...]", "press", True)
     for i in range(12):
         text = (f"Case {i}: " + " ".join(k.format(5000 + i + j) for j, k in enumerate(kinds * 3)))[:300]
         add(text, "limit", not text.endswith("."))
