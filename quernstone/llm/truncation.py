@@ -17,7 +17,7 @@ cut.  Marks put after the cut, signatures and notes of mail programs are taken o
 from __future__ import annotations
 
 import re
-from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -46,9 +46,11 @@ LEAST_LIMIT = 120
 
 # Marks after a cut, closing notes, sentence ends.
 MARKS = re.compile(r"(?:\s*(?:\[(?:\.{2,}|…|more|continued|truncated|cut|snip)\]|\((?:\.{2,}|…|more|continued|truncated)\)|\.{3,}|…|(?i:\b(?:read more|continue reading|view more))\s*[»›>]*))+\s*$")
-NOTES = re.compile(r"\s*\n(?:-- ?\n[^\n]*(?:\n[^\n]*){0,3}|\[Message clipped\][^\n]*|\[(?i:message|text|mail)[^\]\n]*(?i:clipped|truncated|shortened)[^\]\n]*\][^\n]*)\s*$")
+NOTES = re.compile(r"\n(?:-- ?\n[^\n]*(?:\n[^\n]*){0,3}|\[Message clipped\][^\n]*|\[(?i:message|text|mail)[^\]\n]*(?i:clipped|truncated|shortened)[^\]\n]*\][^\n]*)\s*$")
 STOP = re.compile(r"(?:[.!?][\"'”’»)\]]*(?=\s)|[。！？][」』”）]*)")
 CLOSED = re.compile(r"[.!?。！？:][\"'”’»)\]」』）*_`]*$")
+#: Marks after a cut are looked for in so many last characters at a time.
+MARK_LENGTH = 200
 SPEAKER = re.compile(r"^(?:#+ |Subject: |[-*•] |\[[0-9]+\] |[a-z]+ ?[0-9]*[>:] )")
 TOKEN = re.compile(r"[^\W一-鿿぀-ヿ]+(?:[./'’_-][^\W一-鿿぀-ヿ]+)*|[^\s\w]|[一-鿿぀-ヿ]")
 CODE = re.compile(r"[0-9_/]")
@@ -60,17 +62,23 @@ def _tokens(text: str, most: int) -> list[str]:
     A sentence's first word has a capital anyway: it is a name only if it is longer than an article and
     the next word has a capital too.
     """
+    raw = [m.group() for m in islice(TOKEN.finditer(text, 0, 160), most + 4)]
     out: list[str] = []
-    raw = TOKEN.findall(text, 0, 160)
+    last = ""
     for i, w in enumerate(raw):
         if CODE.search(w):
             w = "0"
-        elif len(w) > 1 and w[0].isupper() and (i or len(w) > 3 and len(raw) > 1 and raw[1][0].isupper()):
+        elif w[0].isupper() and len(w) > 1 and (i or len(w) > 3 and len(raw) > 1 and raw[1][0].isupper()):
             w = "X"
         else:
-            w = w.lower()
-        if not (w in "0X" and out and out[-1] == w):
+            out.append(w.lower())
+            last = ""
+            if len(out) == most:
+                break
+            continue
+        if w != last:
             out.append(w)
+            last = w
             if len(out) == most:
                 break
     return out
@@ -96,11 +104,19 @@ def _bare(text: str) -> tuple[str, str]:
     """The text without closing notes, and also without marks put after a cut."""
     body = text.rstrip()
     for _ in range(3):
-        shorter = NOTES.sub("", body)
-        if shorter == body:
+        starts = {body.rfind("\n--"), body.rfind("\n[")} - {-1}
+        at = next((s for s in starts if NOTES.match(body, s)), None)
+        if at is None:
+            break
+        body = body[:at].rstrip()
+    bare = body
+    while bare and (bare[-1] in "])….»›>" or bare[-4:].lower() == "more" or bare[-7:].lower() == "reading"):
+        tail = max(0, len(bare) - MARK_LENGTH)
+        shorter = bare[:tail] + MARKS.sub("", bare[tail:])
+        if shorter == bare:
             break
-        body = shorter.rstrip()
-    return body, MARKS.sub("", body).rstrip()
+        bare = shorter.rstrip()
+    return body, bare
 
 
 def ending(text: str) -> tuple[str, bool, bool, str, int]:
@@ -147,16 +163,17 @@ def _scan(batches):
         for first in range(0, batch.num_rows, 2_000):
             part = batch.slice(first, 2_000)
             texts = [t or "" for t in part.column(2).to_pylist()]
-            stops: Counter = Counter()
-            opens: Counter = Counter()
+            stops: dict[str, int] = {}
+            opens: dict[str, int] = {}
             rows = []
             for text in texts:
                 for sentence, closed, starts in sentences(text):
                     words = _tokens(SPEAKER.sub("", sentence) if starts else sentence, PREFIXES[-1])
                     where = stops if closed else opens
-                    for n in PREFIXES:
-                        if n <= len(words):
-                            where[" ".join(words[:n])] += 1
+                    beginning = ""
+                    for w in words:
+                        beginning = f"{beginning} {w}" if beginning else w
+                        where[beginning] = where.get(beginning, 0) + 1
                 last, marked, starts, key, used = ending(text)
                 whole = int(_hash_prefixes(text, [used])[0]) if last and used >= BEGINNING else None
                 rows.append((len(text), len(text.encode("utf-8", "replace")), last[:200], marked, starts, key, used, _beginning(text) if len(text) >= BEGINNING else None, whole))
@@ -167,7 +184,7 @@ def _scan(batches):
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, pa.nulls(len(rows), pa.string()), none, none], names=names)
             seen = sorted(stops.keys() | opens.keys())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(seen), schema_id), pa.nulls(len(seen), pa.string()), *(pa.nulls(len(seen), k) for k in kinds), pa.array(seen, pa.string()), pa.array([stops[s] for s in seen], pa.int64()), pa.array([opens[s] for s in seen], pa.int64())],
+                [pa.nulls(len(seen), schema_id), pa.nulls(len(seen), pa.string()), *(pa.nulls(len(seen), k) for k in kinds), pa.array(seen, pa.string()), pa.array([stops.get(s, 0) for s in seen], pa.int64()), pa.array([opens.get(s, 0) for s in seen], pa.int64())],
                 names=names,
             )
 
