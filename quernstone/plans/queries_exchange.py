@@ -19,7 +19,7 @@ REGISTRY = Registry()
 @REGISTRY.add("graph_nodes", f"WITH {INC} SELECT kind, name FROM (SELECT DISTINCT 'vulnerability' AS kind, c AS name FROM (SELECT unnest(cve_ids) AS c FROM inc) WHERE c IS NOT NULL UNION ALL SELECT DISTINCT 'weakness', c FROM (SELECT unnest(cwe_ids) AS c FROM inc) WHERE c IS NOT NULL)")
 def graph_nodes(spark, folder):
     """Distinct nodes of the exchange graph."""
-    inc = incidents(spark, folder)
+    inc = incidents(spark, folder, "id", "cve_ids", "cwe_ids")
     cve, cwe = (inc.select(F.explode(c).alias("c")) for c in ("cve_ids", "cwe_ids"))
     return graphs.nodes(cve, "vulnerability", F.col("c")).unionByName(graphs.nodes(cwe, "weakness", F.col("c"))).select("kind", "name")
 
@@ -27,7 +27,7 @@ def graph_nodes(spark, folder):
 @REGISTRY.add("graph_edges", f"WITH {INC} SELECT 'exploits' AS relation, count(*) AS n FROM (SELECT DISTINCT id, c FROM (SELECT id, unnest(cve_ids) AS c FROM inc) WHERE c IS NOT NULL)")
 def graph_edges(spark, folder):
     """How many distinct edges tie records to their identifiers."""
-    pairs = incidents(spark, folder).select("id", F.explode("cve_ids").alias("c"))
+    pairs = incidents(spark, folder, "id", "cve_ids").select("id", F.explode("cve_ids").alias("c"))
     return graphs.edges(pairs, "exploits", ("incident", F.col("id")), ("vulnerability", F.col("c"))).groupBy("relation").agg(F.count("*").alias("n"))
 
 
@@ -40,13 +40,13 @@ def name_based_ids(spark, folder):
 @REGISTRY.add("feed_attributes", f"WITH {INC}, a AS (SELECT DISTINCT year, 'cve' AS kind, c AS value FROM (SELECT year, unnest(cve_ids) AS c FROM inc) WHERE c IS NOT NULL AND c <> '' UNION ALL SELECT DISTINCT year, 'url', u FROM (SELECT year, unnest(\"references\").url AS u FROM inc) WHERE u IS NOT NULL AND u <> '') SELECT coalesce(year::VARCHAR, '') AS year, kind, value, md5(value) AS value_md5 FROM a")
 def feed_attributes(spark, folder):
     """Attributes of each year's feed event with their hashes."""
-    return graphs.attributes(incidents(spark, folder), "year", {"cve": F.col("cve_ids"), "url": F.col("references.url")}).withColumn("year", F.coalesce(F.col("year").cast("string"), F.lit("")))
+    return graphs.attributes(incidents(spark, folder, "id", "year", "cve_ids", "references"), "year", {"cve": F.col("cve_ids"), "url": F.col("references.url")}).withColumn("year", F.coalesce(F.col("year").cast("string"), F.lit("")))
 
 
 @REGISTRY.add("live_identifiers", f"WITH {INC}, p AS (SELECT DISTINCT id, status, unnest(cve_ids) AS c FROM inc), l AS (SELECT id, string_agg(c, ' ' ORDER BY c) AS live FROM p WHERE c IS NOT NULL AND c NOT IN (SELECT c FROM p WHERE status = 'retracted' AND c IS NOT NULL) GROUP BY id) SELECT inc.id, coalesce(live, '') AS live FROM inc LEFT JOIN l USING (id)")
 def live_identifiers(spark, folder):
     """Identifiers of each record that no retracted record holds."""
-    inc = incidents(spark, folder)
+    inc = incidents(spark, folder, "id", "cve_ids", "status")
     gone = inc.where("status = 'retracted'").select(F.explode("cve_ids").alias("c")).where("c IS NOT NULL").distinct()
     pairs = inc.select("id", F.explode(F.array_distinct(arrays.strings(F.col("cve_ids")))).alias("c")).join(gone, "c", "left_anti")
     kept = pairs.groupBy("id").agg(F.array_join(F.array_sort(F.collect_list("c")), " ").alias("live"))

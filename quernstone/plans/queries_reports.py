@@ -18,7 +18,7 @@ REGISTRY = Registry()
 @REGISTRY.add("element_counts", f"WITH {INC} SELECT tag, count(*) AS n FROM (SELECT DISTINCT id, unnest(tags) AS tag FROM inc) WHERE tag IS NOT NULL GROUP BY tag")
 def element_counts(spark, folder):
     """In how many records each tag stands."""
-    return aggregates.element_counts(incidents(spark, folder), "tags", "tag")
+    return aggregates.element_counts(incidents(spark, folder, "id", "tags"), "tags", "tag")
 
 
 _ASKED = ["agentic", "chatbot", "rce", "quantum", "sector-health"]
@@ -27,13 +27,13 @@ _ASKED = ["agentic", "chatbot", "rce", "quantum", "sector-health"]
 @REGISTRY.add("zero_filled_counts", f"WITH {INC} SELECT v.tag, count(t.id) AS n FROM (VALUES ('agentic'), ('chatbot'), ('rce'), ('quantum'), ('sector-health')) v(tag) LEFT JOIN (SELECT DISTINCT id, unnest(tags) AS tag FROM inc) t ON t.tag = v.tag GROUP BY v.tag")
 def zero_filled_counts(spark, folder):
     """Counts of given tags, 0 where there are none."""
-    return aggregates.zero_filled(aggregates.element_counts(incidents(spark, folder), "tags", "tag"), "tag", _ASKED)
+    return aggregates.zero_filled(aggregates.element_counts(incidents(spark, folder, "id", "tags"), "tags", "tag"), "tag", _ASKED)
 
 
 @REGISTRY.add("year_by_severity", f"WITH {INC}, s AS (SELECT year, coalesce({_SEV}, 'Medium') AS sev FROM inc WHERE year IS NOT NULL) SELECT year, " + ", ".join(f"count(*) FILTER (sev = '{s}') AS \"{s}\"" for s in SEVERITIES) + " FROM s GROUP BY year")
 def year_by_severity(spark, folder):
     """Records by year and severity."""
-    rows = incidents(spark, folder).where("year IS NOT NULL").select("year", one_of(F.col("severity"), SEVERITIES, "Medium").alias("sev"))
+    rows = incidents(spark, folder, "id", "year", "severity").where("year IS NOT NULL").select("year", one_of(F.col("severity"), SEVERITIES, "Medium").alias("sev"))
     return aggregates.crosstab(rows, "year", "sev", SEVERITIES)
 
 
@@ -43,20 +43,20 @@ def corpus_stats(spark, folder):
     from quernstone.operators.search import stands
 
     is_status = lambda s: F.count_if(F.col("status") == s).alias(s)
-    return incidents(spark, folder).agg(F.count_if(stands()).alias("standing"), is_status("retracted"), is_status("unverified"), is_status("disputed"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count_if(F.size(F.coalesce("cve_ids", F.array())) > 0).alias("with_cve"), F.count_distinct("year").alias("years"))
+    return incidents(spark, folder, "id", "year", "cve_ids", "status").agg(F.count_if(stands()).alias("standing"), is_status("retracted"), is_status("unverified"), is_status("disputed"), F.min("year").alias("first_year"), F.max("year").alias("last_year"), F.count_if(F.size(F.coalesce("cve_ids", F.array())) > 0).alias("with_cve"), F.count_distinct("year").alias("years"))
 
 
 @REGISTRY.add("top_vectors", f"WITH {INC} SELECT coalesce(nullif(attack_vector, ''), 'other') AS value, count(*) AS n FROM inc GROUP BY 1 ORDER BY n DESC, min(id), 1 LIMIT 12")
 def top_vectors(spark, folder):
     """The twelve most frequent classes; ties in the order of their first record."""
-    return aggregates.top(incidents(spark, folder), F.coalesce(F.nullif(F.col("attack_vector"), F.lit("")), F.lit("other")), F.col("id"), 12)
+    return aggregates.top(incidents(spark, folder, "id", "attack_vector"), F.coalesce(F.nullif(F.col("attack_vector"), F.lit("")), F.lit("other")), F.col("id"), 12)
 
 
 @REGISTRY.add("reference_buckets", f"WITH {INC}, s AS (SELECT len(coalesce(\"references\", [])) AS k FROM inc) SELECT CASE WHEN k <= 0 THEN '0' WHEN k <= 1 THEN '1' WHEN k <= 2 THEN '2' WHEN k <= 4 THEN '3-4' ELSE '5+' END AS bucket, count(*) AS n FROM s GROUP BY 1")
 def reference_buckets(spark, folder):
     """Histogram of the number of references."""
     size = F.size(F.coalesce("references", F.array().cast("array<struct<title:string,url:string,type:string>>")))
-    return incidents(spark, folder).groupBy(aggregates.bucket(size, [(0, "0"), (1, "1"), (2, "2"), (4, "3-4")], "5+").alias("bucket")).agg(F.count("*").alias("n"))
+    return incidents(spark, folder, "id", "references").groupBy(aggregates.bucket(size, [(0, "0"), (1, "1"), (2, "2"), (4, "3-4")], "5+").alias("bucket")).agg(F.count("*").alias("n"))
 
 
 @REGISTRY.add("vendor_totals", "SELECT p.vendor, count(*) AS n, count(DISTINCT i.id) AS ids FROM incidents i JOIN products p USING (package) GROUP BY p.vendor")
@@ -69,7 +69,7 @@ def vendor_totals(spark, folder):
 def coverage_sets(spark, folder):
     """How many of a population are observed."""
     products = table(spark, folder, "products").select("package")
-    seen = incidents(spark, folder).select("package").join(products, "package", "left_semi").agg(F.count_distinct("package").alias("seen"))
+    seen = incidents(spark, folder, "id", "package").select("package").join(products, "package", "left_semi").agg(F.count_distinct("package").alias("seen"))
     return seen.withColumn("population", products.agg(F.count("*")).scalar())
 
 
@@ -132,7 +132,7 @@ _STRATA = "f AS (SELECT *, coalesce(quality_tier, '-') AS tier FROM inc), c AS (
 
 
 def _strata(spark, folder):
-    return sampling.frame(incidents(spark, folder), F.coalesce("quality_tier", F.lit("-")), F.col("feed"))
+    return sampling.frame(incidents(spark, folder, "id", "quality_tier", "feed"), F.coalesce("quality_tier", F.lit("-")), F.col("feed"))
 
 
 @REGISTRY.add("stratum_quotas", f"WITH {INC}, {_STRATA}, e AS (SELECT *, 150 * size / sum(size) OVER () AS exact FROM z), r AS (SELECT *, row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, size DESC, stratum) AS rank, 150 - sum(floor(exact)) OVER () AS spare FROM e) SELECT stratum, size, (floor(exact) + CASE WHEN rank <= spare THEN 1 ELSE 0 END)::BIGINT AS quota FROM r")
@@ -158,7 +158,7 @@ def rotating_sample(spark, folder):
 def fresh_sample(spark, folder):
     """The first forty records that no document refers to."""
     used = table(spark, folder, "documents").select(F.col("incident_id").alias("id")).where("id IS NOT NULL")
-    return sampling.first_not_in(incidents(spark, folder).select("id"), used, "id", "id", 40)
+    return sampling.first_not_in(incidents(spark, folder, "id"), used, "id", "id", 40)
 
 
 _KEV = "kev AS (SELECT upper(trim(c)) AS cve, min(snapshot_on) AS added FROM (SELECT unnest(cve_ids) AS c, updated AS snapshot_on FROM incidents WHERE exploited_in_wild) WHERE c IS NOT NULL GROUP BY 1)"
@@ -173,14 +173,14 @@ def _known_exploited(spark, folder):
 @REGISTRY.add("enriched_by_element", f"WITH {INC}, {_KEV} SELECT i.id, min(k.added) AS first_added, count(DISTINCT k.cve) AS known FROM (SELECT id, unnest(CASE WHEN len(cve_ids) > 0 THEN cve_ids ELSE [NULL] END) AS cve FROM inc) i LEFT JOIN kev k USING (cve) GROUP BY i.id")
 def enriched_by_element(spark, folder):
     """The earliest date a side table has for any of a record's identifiers."""
-    out = enrich.best_of_elements(incidents(spark, folder).select("id", "cve_ids"), "id", "cve_ids", _known_exploited(spark, folder), "cve", {"first_added": F.min("added"), "known": F.count("*")})
+    out = enrich.best_of_elements(incidents(spark, folder, "id", "cve_ids"), "id", "cve_ids", _known_exploited(spark, folder), "cve", {"first_added": F.min("added"), "known": F.count("*")})
     return out.select("id", "first_added", F.coalesce("known", F.lit(0)).alias("known"))
 
 
 @REGISTRY.add("subset_states", f"WITH {INC}, {_KEV}, e AS (SELECT DISTINCT id, unnest(cve_ids) AS cve FROM inc), m AS (SELECT id, count(*) AS n, count(k.cve) AS hit, array_to_string(list_sort(list(k.cve) FILTER (k.cve IS NOT NULL)), ' ') AS marked FROM e LEFT JOIN kev k USING (cve) WHERE e.cve IS NOT NULL GROUP BY id) SELECT inc.id, coalesce(marked, '') AS marked, coalesce(n = hit AND n > 0, false) AS all_marked FROM inc LEFT JOIN m USING (id)")
 def subset_states(spark, folder):
     """Which of a record's identifiers are marked, and whether all are."""
-    out = enrich.subset_state(incidents(spark, folder).select("id", "cve_ids"), "id", "cve_ids", _known_exploited(spark, folder), "cve")
+    out = enrich.subset_state(incidents(spark, folder, "id", "cve_ids").select("id", "cve_ids"), "id", "cve_ids", _known_exploited(spark, folder), "cve")
     return out.select("id", F.array_join("marked", " ").alias("marked"), "all_marked")
 
 
@@ -188,14 +188,14 @@ def subset_states(spark, folder):
 def without_denied(spark, folder):
     """Records with none of the denied tags."""
     denied = spark.createDataFrame([("rce",), ("xss",)], "tag string")
-    return enrich.without_any(incidents(spark, folder), "id", "tags", denied, "tag").select("id")
+    return enrich.without_any(incidents(spark, folder, "id", "tags"), "id", "tags", denied, "tag").select("id")
 
 
 @REGISTRY.add("first_override", f"WITH {INC}, o AS (SELECT package AS sid, vendor AS owner FROM products), p AS (SELECT id, unnest([package, 'x']) AS sid, unnest([1, 2]) AS pos FROM inc) SELECT inc.id, arg_min(o.owner, p.pos) FILTER (o.owner IS NOT NULL) AS owner FROM inc LEFT JOIN p ON p.id = inc.id LEFT JOIN o ON o.sid = p.sid GROUP BY inc.id")
 def first_override(spark, folder):
     """Fields from the side table of the first element that has a row in it."""
     side = table(spark, folder, "products").select(F.col("package").alias("sid"), F.col("vendor").alias("owner"))
-    rows = incidents(spark, folder).select("id", F.array("package", F.lit("x")).alias("sids"))
+    rows = incidents(spark, folder, "id", "package").select("id", F.array("package", F.lit("x")).alias("sids"))
     return enrich.first_hit(rows, "id", "sids", side, "sid", ["owner"]).select("id", "owner")
 
 
@@ -205,7 +205,7 @@ _HOLD = "k AS (SELECT DISTINCT id, upper(trim(u)) AS cve FROM (SELECT id, unnest
 @REGISTRY.add("would_merge", f"WITH {INC}, {_HOLD}, h AS (SELECT a.id, 0 AS r, 'cve' AS kind, b.id AS other FROM k a JOIN k b USING (cve) WHERE a.id <> b.id UNION ALL SELECT a.id, 1, 'title', b.id FROM t a JOIN t b USING (tk) WHERE a.id <> b.id) SELECT id, arg_min(kind, (r, other)) AS kind, arg_min(other, (r, other)) AS other FROM h GROUP BY id")
 def would_merge(spark, folder):
     """For each record the first kind of key that another record shares, and the smallest such record."""
-    inc = incidents(spark, folder)
+    inc = incidents(spark, folder, "id", "title", "cve_ids")
     good = F.filter(F.transform(arrays.strings(F.col("cve_ids")), lambda c: F.upper(F.trim(c))), lambda c: c.rlike("^CVE-[0-9]{4}-[0-9]{5,}$"))
     rows = inc.select("id", F.array_distinct(good).alias("cves"), title_key(F.col("title")).alias("tk"))
     cves = rows.select(F.explode("cves").alias("cve"), "id")
@@ -254,7 +254,7 @@ def field_change_counts(spark, folder):
 @REGISTRY.add("code_census", f"WITH {INC} SELECT code, count(*) AS n FROM (SELECT unnest(cwe_ids) AS code FROM inc) WHERE code IS NOT NULL GROUP BY code")
 def code_census(spark, folder):
     """The multiset of codes."""
-    return diffs.code_census(incidents(spark, folder), "cwe_ids")
+    return diffs.code_census(incidents(spark, folder, "id", "cwe_ids"), "cwe_ids")
 
 
 @REGISTRY.add("one_sided_values", "WITH a AS (SELECT DISTINCT package AS v FROM incidents WHERE package IS NOT NULL), b AS (SELECT DISTINCT package AS v FROM documents WHERE package IS NOT NULL) SELECT v AS value, 'removed' AS side FROM a WHERE v NOT IN (SELECT v FROM b) UNION ALL SELECT v, 'added' FROM b WHERE v NOT IN (SELECT v FROM a)")
@@ -288,13 +288,13 @@ def first_of_key(spark, folder):
 def broken_rules(spark, folder):
     """Findings of row checks."""
     rules = {"severity is a level": F.col("severity").isin(SEVERITIES), "description is long enough": F.length("description") >= 20, "year fits date": F.col("year") == F.substring("date", 1, 4).try_cast("int")}
-    return quality.violations(incidents(spark, folder), "id", rules)
+    return quality.violations(incidents(spark, folder, "id", "description", "date", "year", "severity"), "id", rules)
 
 
 @REGISTRY.add("keys_held_twice", f"WITH {INC} SELECT 'key held by several rows: cve_ids' AS rule, key AS subject, count(DISTINCT id)::VARCHAR AS detail FROM (SELECT id, unnest(cve_ids) AS key FROM inc) WHERE key IS NOT NULL GROUP BY key HAVING count(DISTINCT id) > 1")
 def keys_held_twice(spark, folder):
     """Identifiers of several records."""
-    return quality.repeated_keys(incidents(spark, folder), "id", ["cve_ids"])
+    return quality.repeated_keys(incidents(spark, folder, "id", "cve_ids"), "id", ["cve_ids"])
 
 
 @REGISTRY.add("lost_references", "SELECT 'package refers to nothing' AS rule, doc_id::VARCHAR AS subject, package AS detail FROM documents WHERE package IS NOT NULL AND package NOT IN (SELECT package FROM products WHERE package NOT LIKE '%a%')")
@@ -310,7 +310,7 @@ _OLD_NEW = "o AS (SELECT id, unnest(source_ids) AS key FROM inc), n AS (SELECT k
 @REGISTRY.add("split_keys", f"WITH {INC}, {_OLD_NEW} SELECT o.id AS old_id, array_to_string(list_sort(list(DISTINCT n.id)), ',') AS new_ids FROM o JOIN n USING (key) GROUP BY o.id HAVING count(DISTINCT n.id) > 1")
 def split_keys(spark, folder):
     """Old ids whose keys went to several new ids."""
-    old = incidents(spark, folder).select(F.explode("source_ids").alias("key"), "id").where("key IS NOT NULL AND key <> ''")
+    old = incidents(spark, folder, "id", "source_ids").select(F.explode("source_ids").alias("key"), "id").where("key IS NOT NULL AND key <> ''")
     new = old.groupBy("key").agg(F.min(F.length("key") + F.ascii(F.right(F.col("key"), F.lit(1)))).alias("h")).select("key", F.concat(F.lit("N"), (F.col("h") % 3).cast("string")).alias("id"))
     return quality.split_keys(old, new).select("old_id", F.array_join("new_ids", ",").alias("new_ids"))
 
@@ -383,7 +383,7 @@ def merged_records(spark, folder):
     from quernstone.functions.identifiers import identifiers
     from quernstone.functions.urls import normalize_url
 
-    inc = incidents(spark, folder)
+    inc = incidents(spark, folder, "id", "title", "year", "source_ids", "cve_ids", "references")
     rows = identity.ranked(inc.select("id", "title", "year", "references", "cve_ids", "source_ids"), "id").select(
         F.col("rank").alias("seq"), "id", identifiers("cve_ids").alias("cve"), identifiers("source_ids").alias("source"), F.array_distinct(F.filter(F.transform(F.col("references.url"), lambda u: normalize_url(u)), lambda u: u.isNotNull() & ~u.contains("/weekly/"))).alias("url"), title_key(F.col("title")).alias("title"), "year"
     )
@@ -397,7 +397,7 @@ def merged_fields(spark, folder):
     """Field by field merge of a package's records."""
     from quernstone.functions.text import rank_in
 
-    rows = incidents(spark, folder).where("package IS NOT NULL").withColumn("seq", F.substring("id", 5, 20).try_cast("bigint")).withColumn("severity", F.when(F.col("severity").isin(SEVERITIES), F.col("severity")))
+    rows = incidents(spark, folder, "id", "severity", "affected", "package", "cwe_ids").where("package IS NOT NULL").withColumn("seq", F.substring("id", 5, 20).try_cast("bigint")).withColumn("severity", F.when(F.col("severity").isin(SEVERITIES), F.col("severity")))
     merged = identity.merge_fields(rows, "package", "seq", ["cwe_ids"], ["affected"], {"severity": rank_in(F.col("severity"), SEVERITIES)})
     return merged.select("package", "merged_rows", F.array_join("cwe_ids", ",").alias("cwe_ids"), "affected", "severity")
 
