@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quernstone.functions import arrays
-from quernstone.plans.lineage import Cut
+from quernstone.plans.lineage import Cut, cut
 
 #: Kinds of key in order of precedence.
 KINDS = ("cve", "source", "url", "title")
@@ -27,19 +27,26 @@ def record_keys(rows: DataFrame) -> DataFrame:
 def linked_sets(keys: DataFrame) -> DataFrame:
     """(seq, root): the least seq of all rows tied by any key, by least-label rounds with shortcuts.
 
-    A key's rows get the key's least label, a partial aggregation whatever the number of rows.
+    A key's rows get the key's least label, a partial aggregation whatever the number of rows.  Rows that
+    share no key are left out.
     """
+    shared = keys.groupBy("kind", "key").agg(F.count("*").alias("n")).where("n > 1").select("kind", "key")
+    keys = cut(keys.join(shared, ["kind", "key"]), "keys")
     labels = Cut(keys.select("seq").distinct().withColumn("root", F.col("seq")), "labels")
+    total = labels.read().agg(F.sum("root")).first()[0]
     for _ in range(MOST_ROUNDS):
         now = labels.read()
         per_key = keys.join(now, "seq").groupBy("kind", "key").agg(F.min("root").alias("low"))
-        lower = keys.join(per_key, ["kind", "key"]).groupBy("seq").agg(F.min("low").alias("root"))
+        least = keys.join(per_key, ["kind", "key"]).groupBy("seq").agg(F.min("low").alias("root"))
+        # A row's new label is hooked under its old label's row too, so that whole sets move at once.
+        hooked = least.join(now.withColumnRenamed("root", "old"), "seq").select(F.explode(F.array(F.struct("seq", "root"), F.struct(F.col("old").alias("seq"), F.col("root")))).alias("h"))
+        lower = hooked.select("h.*").groupBy("seq").agg(F.min("root").alias("root"))
         jump = lower.join(now.select(F.col("seq").alias("root"), F.col("root").alias("further")), "root").select("seq", F.least("root", "further").alias("root"))
         after = Cut(jump, "labels")
-        moved = after.read().agg(F.sum("root")).first()[0] != now.agg(F.sum("root")).first()[0]
+        before, total = total, after.read().agg(F.sum("root")).first()[0]
         labels.drop()
         labels = after
-        if not moved:
+        if total == before:  # labels only ever fall
             return labels.read()
     raise RuntimeError("the links did not settle")
 
@@ -93,6 +100,13 @@ def _fold(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"seq": list(into), "survivor": [root(i) for i in into]}, dtype="int64")
 
 
+def _fold_partition(batches):
+    """Replays all linked sets of a partition at once: sets share no key, so they don't touch each other."""
+    frames = list(batches)
+    if frames:
+        yield _fold(pd.concat(frames))
+
+
 def ordered_merge(rows: DataFrame) -> DataFrame:
     """(seq, survivor): the first row of the record that each row merges into, decided in seq order.
 
@@ -100,10 +114,8 @@ def ordered_merge(rows: DataFrame) -> DataFrame:
     cannot meet, so each set is replayed alone; only its keys travel.  Rows without keys stay alone.
     """
     slim = rows.select("seq", *(arrays.strings(F.col(k)).alias(k) for k in KINDS[:3]), "title", F.col("year").cast("double").alias("year"))
-    sets = linked_sets(record_keys(slim))
-    sizes = sets.groupBy("root").count().where("count > 1").select("root")
-    tied = sets.join(sizes, "root", "left_semi")
-    folded = slim.join(tied, "seq").groupBy("root").applyInPandas(lambda pdf: _fold(pdf), "seq bigint, survivor bigint")
+    tied = linked_sets(record_keys(slim))
+    folded = slim.join(tied, "seq").repartition("root").mapInPandas(_fold_partition, "seq bigint, survivor bigint")
     alone = slim.select("seq").join(tied.select("seq"), "seq", "left_anti").select("seq", F.col("seq").alias("survivor"))
     return folded.unionByName(alone)
 
