@@ -1,7 +1,7 @@
 """Matching entities across two tables without a common key.
 
-Candidates come from blocks: a link that both cite, unless very many do, or a few rare words that both
-use within compatible months.  Voters look at links, words, rare words, numbers and dates of each candidate; the
+Candidates come from blocks: a link that both cite (a page that very many cite together with compatible
+days, or with one of the rarest words), or a few rare words that both use within compatible months.  Voters look at links, words, rare words, numbers and dates of each candidate; the
 label model turns their answers into a posterior, and each entity of the right table goes to its most
 probable partner.
 """
@@ -30,6 +30,10 @@ KEY_WORDS = 6
 EXPECTED_ROWS = 0.5
 #: Days by which a partner's date may lie outside the months of the other one.
 MARGIN_DAYS = 16
+#: Days apart up to which a shared hub page alone makes a candidate.
+HUB_DAYS = 31
+#: Records of a hub page that are brought together with its reports at a time.
+PIECE = 2_000
 CONFIDENT = 0.5
 
 #: Edges of the levels of the larger and of the smaller share of words found on the other side.
@@ -40,13 +44,15 @@ VOTERS = ["links", "more", "less", "rare", "dates", "digits"]
 #: week, rough but compatible, a month, more; of digits, some numbers on the right not on the left, no
 #: numbers, all on the left.
 #: The states are: retouched text, text told anew with a shared page, other text of the same pattern,
-#: unrelated text, an unrelated case's page (whose day then has no reason to agree).  A level that starts at 0 in a state is impossible there.
+#: unrelated text, an unrelated case's page (whose day then has no reason to agree), unrelated text with the
+#: same hub page.  A level that starts at 0 in a state is impossible there.
 STATES = [
     State(True, 0.02, [[0.3, 0.2, 0.1, 0.4], [0, 0, 0, 0.1, 0.25, 0.65], [0.02, 0.08, 0.2, 0.3, 0.4], [0.02, 0.1, 0.28, 0.6], [0.1, 0.45, 0.25, 0.15, 0.04, 0.01], [0.1, 0.4, 0.5]]),
-    State(True, 0.01, [[0, 0, 0, 1], [0.3, 0.35, 0.2, 0.1, 0.03, 0.02], [0.4, 0.4, 0.15, 0.04, 0.01], [0.1, 0.5, 0.3, 0.1], [0.1, 0.5, 0.25, 0.14, 0.01, 0], [0.02, 0.88, 0.1]]),
+    State(True, 0.01, [[0, 0, 0.05, 0.95], [0.3, 0.35, 0.2, 0.1, 0.03, 0.02], [0.4, 0.4, 0.15, 0.04, 0.01], [0.1, 0.5, 0.3, 0.1], [0.1, 0.5, 0.25, 0.14, 0.01, 0], [0.02, 0.88, 0.1]]),
     State(False, 0.1, [[0.4, 0.55, 0.045, 0.005], [0.1, 0.4, 0.4, 0.095, 0.004, 0.001], [0.02, 0.2, 0.55, 0.22, 0.01], [0.3, 0.4, 0.25, 0.05], [0.1, 0.03, 0.17, 0.2, 0.4, 0.1], [0.4, 0.58, 0.02]]),
-    State(False, 0.8, [[0.4, 0.55, 0.05, 0], [0.95, 0.05, 0, 0, 0, 0], [0.7, 0.28, 0.02, 0, 0], [0.8, 0.18, 0.02, 0], [0.1, 0.03, 0.17, 0.2, 0.4, 0.1], [0.55, 0.43, 0.02]]),
+    State(False, 0.8, [[0.4, 0.6, 0, 0], [0.95, 0.05, 0, 0, 0, 0], [0.7, 0.28, 0.02, 0, 0], [0.8, 0.18, 0.02, 0], [0.1, 0.03, 0.17, 0.2, 0.4, 0.1], [0.55, 0.43, 0.02]]),
     State(False, 0.01, [[0, 0, 0.5, 0.5], [0.8, 0.14, 0.05, 0.01, 0, 0], [0.8, 0.15, 0.04, 0.01, 0], [0.7, 0.24, 0.05, 0.01], [0.15, 0, 0, 0.15, 0.2, 0.5], [0.4, 0.55, 0.05]]),
+    State(False, 0.5, [[0, 0, 1, 0], [0.9, 0.08, 0.02, 0, 0, 0], [0.7, 0.28, 0.02, 0, 0], [0.8, 0.18, 0.02, 0], [0.1, 0.03, 0.17, 0.2, 0.4, 0.1], [0.55, 0.43, 0.02]]),
 ]
 
 
@@ -61,7 +67,7 @@ def entities(df: DataFrame, id_column: str, text_column: str, date_column: str,
     return rows.groupBy("id").agg(F.max_by("v", F.struct("ord", "v")).alias("v")).select("id", "v.text", day_range(F.col("v.written")).alias("day"), "v.urls")
 
 
-def _months(side: str) -> Column:
+def _months(side: str, margin: int = MARGIN_DAYS) -> Column:
     """Numbers of the months that an entity's date touches; the right side's with a margin.
 
     Both sides add 0 where their date is unknown; an entity with a date also answers to 0 of the others.
@@ -69,7 +75,7 @@ def _months(side: str) -> Column:
     number = lambda d: F.year(d) * 12 + F.month(d)
     first, last = F.col("day.first"), F.col("day.last")
     if side == "right":
-        first, last = F.date_sub(first, MARGIN_DAYS), F.date_add(last, MARGIN_DAYS)
+        first, last = F.date_sub(first, margin), F.date_add(last, margin)
     spans = F.sequence(number(first), number(last))
     return F.when(F.col("day").isNotNull(), F.array_append(spans, F.lit(0) if side == "left" else F.lit(-1))).otherwise(F.array(F.lit(-1), F.lit(0))).alias("months")
 
@@ -143,14 +149,14 @@ def _expand(keys: np.ndarray, rows: np.ndarray, lists: list) -> tuple[np.ndarray
 
 
 def _block_rows(common, wanted=None):
-    """(key, id) of an entity's blocks.  Rows in: id, text, hashes of links other than hubs, months."""
+    """(key, id) of an entity's blocks.  Rows in: id, text, hashes of plain links, hashes of hub links, months."""
 
     def run(batches):
         words_of = common.value
         for batch in batches:
             for first in range(0, batch.num_rows, 4_000):
                 part = batch.slice(first, 4_000)
-                texts, plain, months = (part.column(i).to_pylist() for i in range(1, 4))
+                texts, plain, hubs, months = (part.column(i).to_pylist() for i in range(1, 5))
                 keys, rows = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
                 for begin, _, docs, words in textscan.word_bags(texts):
                     if not len(docs):
@@ -165,6 +171,12 @@ def _block_rows(common, wanted=None):
                     key, row = _expand(key, who[row], months)
                     keys.append(key)
                     rows.append(row)
+                    if any(hubs[i] for i in who):
+                        order = np.lexsort((words, records, np.repeat(np.arange(len(starts)), sizes)))
+                        rare = np.flatnonzero(np.arange(len(words)) - np.repeat(starts, sizes) < KEY_WORDS)
+                        key, row = _expand(words[order][rare], np.repeat(who, sizes)[rare], hubs)
+                        keys.append(key)
+                        rows.append(row)
                 links = np.fromiter((x for v in plain for x in v), np.int64)
                 keys.append(textscan.mix64(links.view(np.uint64)))
                 rows.append(np.repeat(np.arange(len(plain)), [len(v) for v in plain]).astype(np.int64))
@@ -177,6 +189,18 @@ def _block_rows(common, wanted=None):
     return run
 
 
+def _hub_pairs(left: DataFrame, right: DataFrame, hubs: DataFrame) -> DataFrame:
+    """(right_id, left_id) of all that share a hub page and lie at most HUB_DAYS apart or have an unknown date.
+
+    ``hubs`` is (page, pieces): a page's left entities are dealt out to its pieces, its right ones go to each.
+    """
+    at = lambda df, side: df.select(F.col("id").alias(f"{side}_id"), F.col("day").alias(f"{side}_day"), _months(side, HUB_DAYS), F.explode("hub").alias("page")).join(F.broadcast(hubs), "page").withColumn("month", F.explode("months"))
+    a = at(left, "left").withColumn("piece", F.pmod(F.xxhash64("left_id"), F.col("pieces")).cast("int")).drop("months", "pieces")
+    b = at(right, "right").withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).drop("months", "pieces")
+    gap = days_apart(F.col("left_day"), F.col("right_day"))
+    return b.join(a, ["page", "month", "piece"]).where(gap.isNull() | (gap <= HUB_DAYS)).select("right_id", "left_id")
+
+
 def _has_digit(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """For each word of the texts, in the order of word_hashes: its text's number and whether it has a digit."""
     codes, starts = textscan.code_points([t.lower() for t in texts])
@@ -253,16 +277,18 @@ def link_entities(left: DataFrame, right: DataFrame) -> DataFrame:
     cited = left.select(F.explode("urls").alias("url")).groupBy("url").count()
     # At most (links per record) / HUB_SHARE pages.
     often_cited = cited.where(F.col("count") >= max(HUB_RECORDS, int(np.ceil(HUB_SHARE * n))))
-    hubs = often_cited.agg(F.array_sort(F.collect_set(F.xxhash64("url")))).scalar()
+    pages = Cut(often_cited.select(F.xxhash64("url").alias("page"), F.ceil(F.col("count") / PIECE).cast("int").alias("pieces")), "pages").read()
+    hubs = pages.agg(F.array_sort(F.collect_set("page"))).scalar()
     hashed = lambda df: df.withColumn("links", F.transform("urls", lambda u: F.xxhash64(u))).select("id", "text", "day", F.array_except("links", hubs).alias("plain"), F.array_intersect("links", hubs).alias("hub"))
     left, right = Cut(hashed(left), "left").read(), Cut(hashed(right), "right").read()
 
     kinds = {side: df.schema["id"].dataType.simpleString() for side, df in (("left", left), ("right", right))}
-    of_right = right.select("id", "text", "plain", _months("right")).mapInArrow(_block_rows(common), f"key bigint, id {kinds['right']}").distinct()
+    of_right = right.select("id", "text", "plain", "hub", _months("right")).mapInArrow(_block_rows(common), f"key bigint, id {kinds['right']}").distinct()
     of_right = Cut(of_right, "blocks").read()
     wanted = spark.sparkContext.broadcast(Reducer(of_right, F.col("key")))
-    of_left = left.select("id", "text", "plain", _months("left")).mapInArrow(_block_rows(common, wanted), f"key bigint, id {kinds['left']}")
-    pairs = of_right.withColumnRenamed("id", "right_id").join(of_left.withColumnRenamed("id", "left_id"), "key").select("left_id", "right_id").distinct()
+    of_left = left.select("id", "text", "plain", "hub", _months("left")).mapInArrow(_block_rows(common, wanted), f"key bigint, id {kinds['left']}")
+    pairs = of_right.withColumnRenamed("id", "right_id").join(of_left.withColumnRenamed("id", "left_id"), "key").select("left_id", "right_id")
+    pairs = pairs.unionByName(_hub_pairs(left, right, pages)).distinct()
 
     a = left.select(F.col("id").alias("left_id"), F.col("text").alias("left_text"), F.col("day").alias("left_day"), F.col("plain").alias("left_plain"), F.col("hub").alias("left_hub"))
     b = right.select(F.col("id").alias("right_id"), F.col("text").alias("right_text"), F.col("day").alias("right_day"), F.col("plain").alias("right_plain"), F.col("hub").alias("right_hub"))

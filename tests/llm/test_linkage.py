@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions.dates import day_range, days_apart
 from quernstone.llm.label_model import LabelModel, State
-from quernstone.llm.linkage import entities, link_entities
+from quernstone.llm.linkage import _hub_pairs, entities, link_entities
 
 LEFT = "id string, title string, date string, urls array<string>, at int, text string"
 
@@ -81,3 +81,34 @@ def test_day_ranges(spark):
     for r in rows:
         assert (r.d and (str(r.d["first"]), str(r.d["last"]))) == cases[r.t], r
     assert {r.t: r.n for r in rows}["2024-03-05"] == 4 and {r.t: r.n for r in rows}["2024"] == 0
+
+
+def test_hub_pages_make_candidates(spark):
+    rng = random.Random(4)
+    left, right, truth = world(rng, 300)
+    hub = "https://news.example/weekly/round-up"
+    for i in range(40):  # all cite one page, hence a hub; words that only the reports have are their rarest ones
+        at = f"{2019 + i % 6}-{1 + i * 7 % 12:02}-{1 + i * 11 % 28:02}"
+        title = f"Orvane Desk {5000 + i}: open redirect found in the office of Dray by unit {i}"
+        left.append((f"h{i:03}", title, at, [hub], 1, "x"))
+        right.append((f"k{i:03}", title + "".join(f" {rng.choice('bdfgk')}{rng.choice('aeiou')}{rng.getrandbits(30):x}x" for _ in range(25)), at, [hub], 1, "x"))
+        truth.add((f"h{i:03}", f"k{i:03}"))
+    # Far apart in time: a hub page with one rare word brings these together too.
+    left.append(("far", "Quillmark Agent 77123: weak default found in the office of Gorse by unit 88", "2019-03-04", [hub], 1, "x"))
+    right.append(("far", "Quillmark Agent 77123: weak default found in the office of Gorse by unit 88", "2024-09-09", [hub], 1, "x"))
+    out = {(r.left_id, r.right_id) for r in link(spark, left, right).collect()}
+    hubs = {p for p in truth if p[0][0] == "h"}
+    assert len(out & hubs) >= 0.9 * len(hubs), len(out & hubs)
+    assert len({p for p in out if p[1][0] == "k"} - hubs) <= 2
+    assert ("far", "far") in out
+
+
+def test_hub_pairs_are_all_pairs_of_compatible_days(spark):
+    rng = random.Random(5)
+    day = lambda: rng.choice([None, "2023", "2023-04", *(f"2023-{m:02}-{d:02}" for m in (3, 4, 5, 6) for d in (1, 9, 30))])
+    rows = {side: [(f"{side}{i}", day()) for i in range(120)] for side in ("l", "r")}
+    frames = [spark.createDataFrame(v, "id string, written string").select("id", day_range(F.col("written")).alias("day"), F.array(F.lit(5).cast("bigint")).alias("hub")) for v in rows.values()]
+    got = {(r.left_id, r.right_id) for r in _hub_pairs(*frames, spark.createDataFrame([(5, 3)], "page bigint, pieces int")).collect()}
+    gap = days_apart(F.col("a.day"), F.col("b.day"))
+    want = {(x, y) for x, y in frames[0].alias("a").crossJoin(frames[1].alias("b")).where(gap.isNull() | (gap <= 31)).select("a.id", "b.id").collect()}
+    assert 0 < len(want) < 120 * 120 and got == want
