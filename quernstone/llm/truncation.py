@@ -16,6 +16,7 @@ cut.  Marks put after the cut, signatures and notes of mail programs are taken o
 
 from __future__ import annotations
 
+import hashlib
 import re
 from itertools import islice
 
@@ -37,7 +38,7 @@ EVIDENCE = 2
 RUNS_ON = 0.5
 #: Key of an ending inside an open code block.
 BLOCK = "```"
-#: An ending after a mark is a standing phrase from this many words and this share of all marked endings on.
+#: An ending after a mark is a standing phrase from this many words, this share of all marked endings and so many different texts on.
 STANDING_WORDS, STANDING_SHARE, STANDING_TEXTS = 3, 0.02, 3
 #: A length is a limit if this many texts of a source have it, and this many times as many as lengths near it.
 LIMIT_TEXTS, LIMIT_TIMES, NEAR = 5, 8.0, 40
@@ -153,7 +154,7 @@ def _hash_prefixes(text: str, lengths: list[int]) -> np.ndarray:
     return textscan.run_hashes(codes, np.zeros(len(ends), np.int64), ends).view(np.int64)
 
 
-_ENDS = "id {id}, source string, chars int, bytes int, open string, marked boolean, first boolean, key string, used int, beginning bigint, whole bigint, prefix string, stops bigint, opens bigint"
+_ENDS = "id {id}, source string, chars int, bytes int, open string, marked boolean, first boolean, key string, used int, beginning bigint, whole bigint, content bigint, prefix string, stops bigint, opens bigint"
 
 
 def _scan(batches):
@@ -176,11 +177,13 @@ def _scan(batches):
                         where[beginning] = where.get(beginning, 0) + 1
                 last, marked, starts, key, used = ending(text)
                 whole = int(_hash_prefixes(text, [used])[0]) if last and used >= BEGINNING else None
-                rows.append((len(text), len(text.encode("utf-8", "replace")), last[:200], marked, starts, key, used, _beginning(text) if len(text) >= BEGINNING else None, whole))
+                encoded = text.encode("utf-8", "replace")
+                content = int.from_bytes(hashlib.blake2b(encoded, digest_size=8).digest(), "little", signed=True)
+                rows.append((len(text), len(encoded), last[:200], marked, starts, key, used, _beginning(text) if len(text) >= BEGINNING else None, whole, content))
             none = pa.nulls(len(rows), pa.int64())
-            kinds = [pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.int32(), pa.int64(), pa.int64()]
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            names = ["id", "source", "chars", "bytes", "open", "marked", "first", "key", "used", "beginning", "whole", "prefix", "stops", "opens"]
+            names = ["id", "source", "chars", "bytes", "open", "marked", "first", "key", "used", "beginning", "whole", "content", "prefix", "stops", "opens"]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, pa.nulls(len(rows), pa.string()), none, none], names=names)
             seen = sorted(stops.keys() | opens.keys())
             yield pa.RecordBatch.from_arrays(
@@ -216,10 +219,11 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
 
     prefixes = scanned.where("prefix IS NOT NULL").groupBy("prefix").agg(F.sum("stops").alias("stops"), F.sum("opens").alias("opens"))
 
-    marked = ends.where("marked AND open <> ''").where(F.size(F.split("open", r"\s+")) >= STANDING_WORDS)
     phrase = F.regexp_replace(F.lower("open"), "[0-9]+", "0")
+    # Copies of a text say no more of its ending than one of them.
+    marked = ends.where("marked AND open <> ''").where(F.size(F.split("open", r"\s+")) >= STANDING_WORDS).select(phrase.alias("phrase"), "content").distinct()
     share = STANDING_SHARE * marked.agg(F.count("*")).scalar()
-    standing = marked.groupBy(phrase.alias("phrase")).count().where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= share)).select("phrase")
+    standing = marked.groupBy("phrase").count().where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= share)).select("phrase")
 
     opened = ends.where("open <> ''")
     # Each ending by all its prefixes; the longest that enough sentences share decides.
@@ -261,9 +265,9 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
         .join(byte_limits, F.col("source").eqNullSafe(F.col("at")) & (F.col("bytes") == F.col("bytes_limit")), "left")
     )
     why = (
-        F.when(F.coalesce("standing", F.lit(False)) & F.col("marked"), F.lit(None))
-        .when(F.col("runs"), "copy")
+        F.when(F.col("runs"), "copy")
         .when(F.col("runs") == F.lit(False), F.lit(None))
+        .when(F.coalesce("standing", F.lit(False)) & F.col("marked"), F.lit(None))
         .when(F.col("chars_limit").isNotNull() | F.col("bytes_limit").isNotNull(), "limit")
         .when(F.col("key") == BLOCK, "block")
         .when(~F.col("first"), "sentence")

@@ -72,3 +72,17 @@ def test_defined_cases(spark):
     assert len(out) == len(rows) and {r.id for r in out if r.truncated} <= {5, 7}
     assert verdicts(spark, rows).limit(0).count() == 0
     assert truncated_texts(spark.createDataFrame([], SCHEMA), "doc_id", "text", "source").count() == 0
+
+
+def test_copies_do_not_make_a_standing_phrase(spark):
+    rows = corpus()
+    cut = "The parser keeps reading past 9 entries when the header is missing. Nobody had checked the [...]"
+    copies = [(10_000 + i, cut, "board", True) for i in range(12)]
+    # Three texts end in a phrase that stands after a mark elsewhere too; a longer copy still proves a cut.
+    start = "A long beginning of its own kind that brings together both of these two texts, number {}, and then"
+    proven = [(20_000 + i, start.format(i) + "\nmore to follow on that [...]", "wire", True) for i in range(3)]
+    longer = [(30_000 + i, start.format(i) + "\nmore to follow on that other page when it is ready.", "wire", False) for i in range(3)]
+    got = {r.id: (r.truncated, r.why) for r in verdicts(spark, rows + copies + proven + longer).collect()}
+    assert {got[i] for i, *_ in copies} == {(True, "sentence")}
+    assert {got[i] for i, *_ in proven} == {(True, "copy")} and not any(got[i][0] for i, *_ in longer)
+    assert not any(got[i][0] for i, text, *_ in rows if text.endswith("More to follow..."))
