@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import textscan
 from quernstone.plans.lineage import Cut
+from quernstone.plans.reducer import Reducer
 
 #: Characters by which texts are first brought together with longer copies.
 BEGINNING = 64
@@ -154,7 +155,40 @@ def _hash_prefixes(text: str, lengths: list[int]) -> np.ndarray:
     return textscan.run_hashes(codes, np.zeros(len(ends), np.int64), ends).view(np.int64)
 
 
-_ENDS = "id {id}, source string, chars int, bytes int, open string, marked boolean, first boolean, key string, used int, beginning bigint, whole bigint, content bigint, prefix string, stops bigint, opens bigint"
+_ENDS = "id {id}, source string, chars int, bytes int, open string, marked boolean, first boolean, key string, used int, beginning bigint, whole bigint, content bigint, own boolean, prefix string, stops bigint, opens bigint"
+
+
+def _add_sentences(text: str, stops: dict[str, int], opens: dict[str, int], times: int = 1) -> None:
+    """Enters the text's sentences under all their beginnings."""
+    for sentence, closed, starts in sentences(text):
+        words = _tokens(SPEAKER.sub("", sentence) if starts else sentence, PREFIXES[-1])
+        where = stops if closed else opens
+        beginning = ""
+        for w in words:
+            beginning = f"{beginning} {w}" if beginning else w
+            where[beginning] = where.get(beginning, 0) + times
+
+
+def _own(text: str, last: str, key: str) -> bool | None:
+    """How the text's last sentence is entered under its key: whether as closed, null if it isn't."""
+    if not last or key in ("", BLOCK):
+        return None
+    own = next(((s, closed, starts) for s, closed, starts in reversed(list(sentences(text))) if s.startswith(last)), None)
+    if own is None:
+        return None
+    words = _tokens(SPEAKER.sub("", own[0]) if own[2] else own[0], PREFIXES[-1])
+    return own[1] if " ".join(words).startswith(key) else None
+
+
+def _spare_sentences(batches):
+    """(prefix, stops, opens) to take off: of texts that occur several times, all but one.  Rows in: text, times."""
+    for batch in batches:
+        stops: dict[str, int] = {}
+        opens: dict[str, int] = {}
+        for text, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            _add_sentences(text, stops, opens, 1 - times)
+        seen = sorted(stops.keys() | opens.keys())
+        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([stops.get(s, 0) for s in seen], pa.int64()), pa.array([opens.get(s, 0) for s in seen], pa.int64())], names=["prefix", "stops", "opens"])
 
 
 def _scan(batches):
@@ -168,22 +202,16 @@ def _scan(batches):
             opens: dict[str, int] = {}
             rows = []
             for text in texts:
-                for sentence, closed, starts in sentences(text):
-                    words = _tokens(SPEAKER.sub("", sentence) if starts else sentence, PREFIXES[-1])
-                    where = stops if closed else opens
-                    beginning = ""
-                    for w in words:
-                        beginning = f"{beginning} {w}" if beginning else w
-                        where[beginning] = where.get(beginning, 0) + 1
+                _add_sentences(text, stops, opens)
                 last, marked, starts, key, used = ending(text)
                 whole = int(_hash_prefixes(text, [used])[0]) if last and used >= BEGINNING else None
                 encoded = text.encode("utf-8", "replace")
                 content = int.from_bytes(hashlib.blake2b(encoded, digest_size=8).digest(), "little", signed=True)
-                rows.append((len(text), len(encoded), last[:200], marked, starts, key, used, _beginning(text) if len(text) >= BEGINNING else None, whole, content))
+                rows.append((len(text), len(encoded), last[:200], marked, starts, key, used, _beginning(text) if len(text) >= BEGINNING else None, whole, content, _own(text, last, key)))
             none = pa.nulls(len(rows), pa.int64())
-            kinds = [pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
+            kinds = [pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
             columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            names = ["id", "source", "chars", "bytes", "open", "marked", "first", "key", "used", "beginning", "whole", "content", "prefix", "stops", "opens"]
+            names = ["id", "source", "chars", "bytes", "open", "marked", "first", "key", "used", "beginning", "whole", "content", "own", "prefix", "stops", "opens"]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, pa.nulls(len(rows), pa.string()), none, none], names=names)
             seen = sorted(stops.keys() | opens.keys())
             yield pa.RecordBatch.from_arrays(
@@ -217,7 +245,14 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
     scanned = Cut(rows.mapInArrow(_scan, _ENDS.format(id=kind)), "endings").read()
     ends = scanned.where("chars IS NOT NULL").drop("prefix", "stops", "opens")
 
-    prefixes = scanned.where("prefix IS NOT NULL").groupBy("prefix").agg(F.sum("stops").alias("stops"), F.sum("opens").alias("opens"))
+    # A text that occurs several times is evidence once: its other copies' sentences are taken off again.
+    hashed = rows.where("text <> ''").withColumn("hash", F.xxhash64("text"))
+    repeated = Cut(hashed.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1"), "repeated").read()
+    held = Reducer(repeated, F.col("hash")).keep(hashed.select("text", "hash"), F.col("hash"))
+    once = held.groupBy("hash").agg(F.any_value("text").alias("text"), F.count("*").alias("times")).where("times > 1")
+    spare = once.select("text", "times").mapInArrow(_spare_sentences, "prefix string, stops bigint, opens bigint")
+    counted = scanned.where("prefix IS NOT NULL").select("prefix", "stops", "opens").unionByName(spare)
+    prefixes = counted.groupBy("prefix").agg(F.sum("stops").alias("stops"), F.sum("opens").alias("opens"))
 
     phrase = F.regexp_replace(F.lower("open"), "[0-9]+", "0")
     # Copies of a text say no more of its ending than one of them.
@@ -233,9 +268,11 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
     lengths = F.when((F.col("key") == "") | (F.col("key") == BLOCK), F.array(F.lit(0))).otherwise(F.sequence(F.least(after_label, F.size(words)), F.size(words)))
     tried = opened.groupBy(*columns).agg(F.count("*").alias("copies")).withColumn("length", F.explode(lengths)).withColumn("prefix", F.array_join(F.slice(words, 1, F.col("length")), " ")).join(prefixes, "prefix", "left")
     known = F.when(F.col("stops") + F.col("opens") >= EVIDENCE, F.col("length"))
+    own = F.col("own").cast("int")
     keyed = tried.groupBy(*columns, "copies").agg(F.max_by(F.struct("stops", "opens"), known).alias("e"), F.max(known).alias("depth")).select(*columns, "copies", "depth", "e.stops", "e.opens")
-    stops, opens = F.coalesce(F.col("stops"), F.lit(0)), F.coalesce(F.col("opens"), F.lit(0))
-    keyed = keyed.withColumn("runs_on", F.coalesce((stops > RUNS_ON * (stops + opens)) & (F.col("depth") >= 2), F.lit(False))).withColumn("usual_end", F.col("first") & (opens > 1) & (stops <= RUNS_ON * (stops + opens))).drop("stops", "opens", "depth")
+    # Of the sentences counted, the text's own one says nothing of how such sentences end.
+    stops, opens = F.coalesce(F.col("stops") - F.coalesce(own, F.lit(0)), F.lit(0)), F.coalesce(F.col("opens") - F.coalesce(1 - own, F.lit(0)), F.lit(0))
+    keyed = keyed.withColumn("runs_on", F.coalesce((stops > RUNS_ON * (stops + opens)) & (F.col("depth") >= 2), F.lit(False))).withColumn("usual_end", F.col("first") & (opens > 0) & (stops <= RUNS_ON * (stops + opens))).drop("stops", "opens", "depth")
 
     def limits(size: str) -> DataFrame:
         """Lengths at which a source's texts pile up: at most 1 / LIMIT_TEXTS of all, as a rule a few per source."""
@@ -246,7 +283,7 @@ def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_colu
         usual = (F.col("around") - F.col("count")) / (3 * NEAR - 1)
         piled = near.where(F.col("count") >= LIMIT_TIMES * usual + 1).select(F.col("p.source").alias("at"), F.col("size").alias(f"{size}_limit"))
         # Texts of one pattern pile up too; at a limit, most ends are such as complete texts don't have.
-        odd = keyed.groupBy("source", size).agg(F.avg(F.col("usual_end").cast("int")).alias("usual_ends")).where("usual_ends < 0.5").select(F.col("source").alias("in"), F.col(size).alias("with"))
+        odd = keyed.dropDuplicates(["source", size, "content"]).groupBy("source", size).agg(F.avg(F.col("usual_end").cast("int")).alias("usual_ends")).where("usual_ends < 0.5").select(F.col("source").alias("in"), F.col(size).alias("with"))
         return piled.join(odd, F.col("at").eqNullSafe(F.col("in")) & (F.col(f"{size}_limit") == F.col("with")), "left_semi")
 
     # Longer copies: beginnings that several texts have, with the lengths of the open texts among them.

@@ -86,3 +86,13 @@ def test_copies_do_not_make_a_standing_phrase(spark):
     assert {got[i] for i, *_ in copies} == {(True, "sentence")}
     assert {got[i] for i, *_ in proven} == {(True, "copy")} and not any(got[i][0] for i, *_ in longer)
     assert not any(got[i][0] for i, text, *_ in rows if text.endswith("More to follow..."))
+
+
+def test_copies_of_a_cut_text_are_no_evidence(spark):
+    whole = [(i, f"Every relay forwards {i} frames without looking into them.", "full") for i in range(4)]
+    cut = [(100 + i, "Every relay forwards 7 frames without loo", "board") for i in range(12)]
+    pair = [(200 + i, f"Older bridges drop {i} packets when the table is full.", "full") for i in range(2)] + [(300 + i, "Older bridges drop 9 packets when the ta", "board") for i in range(2)]
+    # As many different headings that begin alike stay what they are.
+    heads = [(400 + i, f"Plain switches with {i} ports", "full") for i in range(12)] + [(500, "Plain switches with 7 ports are cheap.", "full")]
+    got = {r.id: r.truncated for r in verdicts(spark, whole + cut + pair + heads).collect()}
+    assert all(got[i] for i, text, _ in cut + pair if not text.endswith(".")) and not any(got[i] for i, *_ in whole + heads)
