@@ -61,6 +61,12 @@ def p1_groups(spark, folder):
     return connected_components(edges, "id_a", "id_b")
 
 
+@REGISTRY.add("p1_copies")
+def p1_copies(spark, folder):
+    """For each record the first one with exactly its title and description, and how many have them."""
+    return _near_duplicates(spark, folder, complete=False).copies()
+
+
 _TIES = r"""
     held AS (
         SELECT DISTINCT id, v FROM (
