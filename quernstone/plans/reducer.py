@@ -1,7 +1,8 @@
-"""A semi-join reducer of fixed size: which of 2**BITS slots the wanted keys fall into.
+"""A semi-join reducer of bounded size: which of its slots the wanted keys fall into.
 
-Built by partial aggregation in the JVM, it has at most 2**BITS / 8 bytes however many keys there are.
-It only spares the shuffle rows that a later exact join would drop anyway.
+Built by partial aggregation in the JVM, it has SLOTS slots for each key that may come and at most
+2**MOST_BITS / 8 bytes (16 MB), however many keys there are.  It only spares the shuffle rows that a later
+exact join would drop anyway: beyond some 10**8 keys it fills up and lets everything pass.
 """
 
 from __future__ import annotations
@@ -11,13 +12,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BITS = 24
+LEAST_BITS, MOST_BITS = 16, 27
+SLOTS = 4
 _PAGE = 32_768
 
 
 class Reducer:
-    def __init__(self, keys: DataFrame, key: Column, bits: int = BITS) -> None:
-        self.slots = 1 << bits
+    def __init__(self, keys: DataFrame, key: Column, rows: int = 1 << 22) -> None:
+        """``rows``: how many keys there may be, roughly."""
+        self.slots = 1 << min(MOST_BITS, max(LEAST_BITS, (SLOTS * rows).bit_length()))
         slot = F.pmod(key, F.lit(self.slots))
         pages = keys.select(slot.alias("slot")).groupBy(F.expr(f"slot div {_PAGE}").alias("page")).agg(F.bitmap_construct_agg(F.expr(f"slot % {_PAGE}")).alias("bits")).collect()
         self.bits = np.zeros(self.slots // 8, np.uint8)
