@@ -23,45 +23,71 @@ REGISTRY = Registry()
 NOT_BLANK = r"(?U)\S"
 
 
-def _near_duplicates(spark, folder, complete=True):
+def _near_duplicates(spark, folder, usable=None, complete=True):
     incidents = table(spark, folder, "incidents")
-    return near_duplicates(incidents, "id", ["title", "description"], "received_at", F.col("description").rlike(NOT_BLANK), complete=complete)
+    return near_duplicates(incidents, "id", ["title", "description"], "received_at", usable, complete=complete)
 
 
-@REGISTRY.add(
-    "p1_found",
-    r"""
-    WITH latest AS (
-        SELECT id, arg_max(coalesce(title, '') || ' ' || description, received_at) AS text
-        FROM incidents WHERE regexp_matches(description, '\S') GROUP BY id
+#: Words of each record's latest version, and pairs of different texts that are at least 0.75 alike.
+_ALIKE = r"""
+    latest AS (
+        SELECT id, arg_max({{'text': coalesce(title, '') || ' ' || coalesce(description, ''), 'usable': {usable}}}, received_at) AS v FROM incidents GROUP BY id
     ), uses AS (
-        SELECT id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}]+')) AS word FROM latest
+        SELECT id, v.text AS text, unnest(regexp_extract_all(lower(v.text), '[\p{{L}}\p{{N}}]+')) AS word FROM latest WHERE v.usable
+    ), copies AS (
+        SELECT DISTINCT id, min(id) OVER (PARTITION BY text) AS head FROM uses
     ), words AS (
-        SELECT id, word, count(*) AS n FROM uses GROUP BY id, word
+        SELECT id, word, count(*) AS n FROM uses WHERE id IN (SELECT head FROM copies) GROUP BY id, word
     ), sizes AS (
         SELECT id, sum(n) AS size FROM words GROUP BY id
     ), common AS (
         SELECT a.id AS id_a, b.id AS id_b, sum(least(a.n, b.n)) AS shared
         FROM words a JOIN words b ON a.word = b.word AND a.id < b.id GROUP BY a.id, b.id
+    ), alike AS (
+        SELECT id_a, id_b FROM common JOIN sizes x ON x.id = id_a JOIN sizes y ON y.id = id_b WHERE shared >= 0.75 * greatest(x.size, y.size)
+        UNION ALL SELECT head, id FROM copies WHERE id <> head
     )
-    SELECT id_a, id_b FROM common
-    JOIN sizes x ON x.id = id_a JOIN sizes y ON y.id = id_b
-    WHERE shared >= 0.75 * greatest(x.size, y.size)
-    """,
-)
+"""
+
+
+@REGISTRY.add("p1_found", "WITH " + _ALIKE.format(usable=r"coalesce(regexp_matches(description, '\S'), false)") + "SELECT id_a, id_b FROM alike")
 def p1_found(spark, folder):
-    """Pairs of incident records whose title and description are at least 0.75 alike."""
-    return _near_duplicates(spark, folder).pairs().select("id_a", "id_b")
+    """Pairs of incident records whose title and description are at least 0.75 alike.
 
+    Records without a description make no case.  Of records with exactly the same text the first stands for
+    all in pairs with others, and is paired with each of its copies.
+    """
+    return _near_duplicates(spark, folder, F.col("description").rlike(NOT_BLANK)).pairs().select("id_a", "id_b")
 
-@REGISTRY.add("p1_groups")
+
+@REGISTRY.add(
+    "p1_groups",
+    "WITH RECURSIVE "
+    + _ALIKE.format(usable="true")
+    + """, ties AS (
+        SELECT id_a AS a, id_b AS b FROM alike UNION SELECT id_b, id_a FROM alike
+    ), reach(id, other) AS (
+        SELECT a, b FROM ties UNION SELECT r.id, t.b FROM reach r JOIN ties t ON t.a = r.other
+    )
+    SELECT id, least(id, min(other)) AS group_id FROM reach GROUP BY id
+    """,
+)
 def p1_groups(spark, folder):
-    """The group of each record that is a copy or near-copy of another one."""
+    """The group of each record that is a copy or near-copy of another one, with or without a description."""
     edges = _near_duplicates(spark, folder, complete=False).edges()
     return connected_components(edges, "id_a", "id_b")
 
 
-@REGISTRY.add("p1_copies")
+@REGISTRY.add(
+    "p1_copies",
+    r"""
+    WITH latest AS (
+        SELECT id, arg_max(coalesce(title, '') || ' ' || coalesce(description, ''), received_at) AS text FROM incidents GROUP BY id
+    )
+    SELECT id, min(id) OVER (PARTITION BY text) AS copy_of, count(*) OVER (PARTITION BY text) AS copies
+    FROM latest WHERE regexp_matches(lower(text), '[\p{L}\p{N}]')
+    """,
+)
 def p1_copies(spark, folder):
     """For each record the first one with exactly its title and description, and how many have them."""
     return _near_duplicates(spark, folder, complete=False).copies()
@@ -202,8 +228,8 @@ def p4_survivors(spark, folder):
     copies = _near_duplicates(spark, folder, complete=False).edges().select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
     groups = cut(connected_components(copies.union(ties_of_values(incidents, "id", identifiers("cve_ids", "source_ids")))), "groups")
     # Only rows of grouped ids need to move; the join below is exact.
-    wanted = Reducer(groups, F.xxhash64("id"))
+    wanted = Reducer(groups, F.xxhash64("id"), groups.count())
     fields = ["title", "description", "severity", "cvss_score", "category", "attack_vector", "tags", "references", "quality_tier", "updated", "added", "date"]
     rows = wanted.keep(incidents.select("id", "received_at", *fields), F.xxhash64("id")).select("id", "received_at", F.struct(*fields).alias("v"))
-    latest = rows.groupBy("id").agg(F.max_by("v", "received_at").alias("v")).join(groups, "id").select("id", "group_id", "v.*")
+    latest = rows.groupBy("id").agg(F.max_by("v", F.struct("received_at", "v")).alias("v")).join(groups, "id").select("id", "group_id", "v.*")
     return surviving_records(latest, "id", "group_id", *incident_bundles())
