@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 DASHES = "[‐‑‒–—―−﹘﹣－]"
 NO_NAMES = ["", "N/A", "NONE", "UNKNOWN", "TBD"]
 CVE = "^CVE-[0-9]{4}-[0-9]{4,}$"
+#: A well-formed CVE id, whose number has nine digits at most; ``CVE`` only tells what names something.
+CVE_ID = "^CVE-[0-9]{4}-[0-9]{4,9}$"
 ZEROS = "^CVE-[0-9]{4}-0+$"
 
 
@@ -19,6 +21,12 @@ def identifier(value: Column) -> Column:
     return F.when(~nothing, text)
 
 
+def cve_ids(column: str) -> Column:
+    """The well-formed CVE ids of an array column, trimmed and in upper case, each once; null counts as empty."""
+    each = F.transform(F.coalesce(F.col(column), F.array().cast("array<string>")), lambda c: F.upper(F.trim(c)))
+    return F.array_distinct(F.filter(each, lambda c: c.rlike(CVE_ID)))
+
+
 def identifiers(*lists: str) -> Column:
     """All identifiers that name something in the given array columns; null arrays count as empty."""
     empty = F.array().cast("array<string>")

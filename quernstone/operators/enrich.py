@@ -54,7 +54,12 @@ def by_priority(rows: DataFrame, key: str, probes: list[tuple[str, DataFrame, st
     for rank, (kind, table, column) in enumerate(probes):
         is_array = rows.schema[column].dataType.simpleString().startswith("array")
         probe = rows.select(key, F.explode(F.col(column)).alias("_k") if is_array else F.col(column).alias("_k")).where(F.col("_k").isNotNull())
-        hits = probe.join(table.toDF("_k", "_id"), "_k").where(F.col("_id") != F.col(key)).select(key, F.lit(rank).alias("_rank"), F.lit(kind).alias("kind"), "_id")
+        # The two smallest ids of a probe key, by partial aggregation: one of them is the smallest other id.
+        ids = table.toDF("_k", "_id").where("_k IS NOT NULL").groupBy("_k").agg(F.min("_id").alias("_least"), F.max("_id").alias("_most"))
+        next_ids = table.toDF("_k", "_id").join(ids.where("_least <> _most").select("_k", "_least"), "_k").where("_id <> _least").groupBy("_k").agg(F.min("_id").alias("_second"))
+        known = ids.join(next_ids, "_k", "left")
+        other = F.when(F.col("_least") != F.col(key), F.col("_least")).otherwise(F.col("_second"))
+        hits = probe.join(known, "_k").select(key, F.lit(rank).alias("_rank"), F.lit(kind).alias("kind"), other.alias("_id")).where(F.col("_id").isNotNull())
         found = hits if found is None else found.unionByName(hits)
     best = found.groupBy(key).agg(F.min(F.struct("_rank", "kind", "_id")).alias("_b"))
     return best.select(key, "_b.kind", F.col("_b._id").alias(id_column))

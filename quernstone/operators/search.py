@@ -36,9 +36,17 @@ def matches(df: DataFrame, name: str, value) -> Column:
     return F.coalesce(F.col(name) == F.lit(value), F.lit(False))
 
 
+def text_of(df: DataFrame, column: str) -> Column:
+    """A column's text; arrays are joined by blanks.  ``primary_reference``, where it is no column, is the
+    first reference's URL."""
+    if column == "primary_reference" and column not in df.columns:
+        return F.get(F.col("references.url"), F.lit(0)) if "references" in df.columns else F.lit(None).cast("string")
+    return F.array_join(F.col(column), " ") if isinstance(df.schema[column].dataType, T.ArrayType) else F.col(column).cast("string")
+
+
 def haystack(columns: list[str], df: DataFrame) -> Column:
     """The columns' text in one lower-cased string; arrays are joined by blanks."""
-    parts = [F.array_join(F.col(c), " ") if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c).cast("string") for c in columns]
+    parts = [text_of(df, c) for c in columns]
     return F.lower(F.concat_ws(" ", *parts))
 
 
@@ -47,6 +55,18 @@ def with_text(df: DataFrame, text: str, columns: list[str]) -> DataFrame:
     return df.where(F.contains(haystack(columns, df), F.lit(text.strip().lower())))
 
 
+def by_id(df: DataFrame, value: str, column: str = "id", order: str | None = None) -> DataFrame:
+    """The row with that id, or none; of several the first by ``order``, or else the one with the least values.
+
+    Looks at all rows, retracted ones too.  A null id is found by nothing.
+    """
+    found = df.where(F.col(column) == F.lit(value))
+    # min_by keeps one row for each partition before anything moves.
+    row = F.struct(*(F.col(c) for c in df.columns))
+    rank = F.col(order) if order else F.xxhash64(*df.columns)
+    return found.groupBy(F.col(column).alias("_id")).agg(F.min_by(row, F.struct(rank, F.xxhash64(*df.columns))).alias("_row")).select("_row.*")
+
+
 def by_identifier(df: DataFrame, column: str, value: str) -> DataFrame:
     """Rows whose array holds the value in upper case and without outer blanks."""
     return df.where(F.array_contains(F.col(column), value.strip().upper()))
@@ -58,8 +78,9 @@ class QuerySpec:
 
     filters: dict = field(default_factory=dict)
     has: list[str] = field(default_factory=list)
+    lacks: list[str] = field(default_factory=list)
     text: str = ""
-    text_columns: tuple[str, ...] = ("id", "title", "cve_ids")
+    text_columns: tuple[str, ...] = ("id", "title", "cve_ids", "primary_reference")
     standing_only: bool = False
     sort: str = "newest"
     page: int = 1
@@ -67,12 +88,13 @@ class QuerySpec:
 
     def rows(self, df: DataFrame) -> DataFrame:
         """All matching rows, in no order."""
-        tests = [matches(df, n, v) for n, v in self.filters.items()] + [F.size(F.coalesce(F.col(c), F.array())) > 0 if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c).isNotNull() for c in self.has]
+        filled = lambda c: F.size(F.coalesce(F.col(c), F.array())) > 0 if isinstance(df.schema[c].dataType, T.ArrayType) else F.col(c).isNotNull()
+        tests = [matches(df, n, v) for n, v in self.filters.items() if v is not None] + [filled(c) for c in self.has] + [~filled(c) for c in self.lacks]
         if self.standing_only:
             tests.append(stands())
         if tests:
             df = df.where(reduce(lambda a, b: a & b, tests))
-        return with_text(df, self.text, list(self.text_columns)) if self.text.strip() else df
+        return with_text(df, self.text, [c for c in self.text_columns if c in df.columns or c == "primary_reference"]) if self.text.strip() else df
 
     def order(self) -> list[Column]:
         orders = {
@@ -97,7 +119,7 @@ class QuerySpec:
     def to_url(self) -> str:
         """Query string of everything that differs from the default."""
         base = QuerySpec()
-        pairs = [(f"f.{k}", v) for k, v in sorted(self.filters.items())] + [("has", h) for h in self.has]
+        pairs = [(f"f.{k}", v) for k, v in sorted(self.filters.items())] + [("has", h) for h in self.has] + [("lacks", h) for h in self.lacks]
         pairs += [(f.name, getattr(self, f.name)) for f in fields(self) if f.name in ("text", "sort", "page", "size", "standing_only") and getattr(self, f.name) != getattr(base, f.name)]
         return urlencode(pairs)
 
@@ -110,6 +132,8 @@ class QuerySpec:
                 spec.filters[key[2:]] = int(value) if key[2:] in numbers and value.isdigit() else value
             elif key == "has":
                 spec.has.append(value)
+            elif key == "lacks":
+                spec.lacks.append(value)
             elif key == "text":
                 spec.text = value
             elif key == "standing_only":

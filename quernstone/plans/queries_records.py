@@ -93,16 +93,19 @@ def title_keys(spark, folder):
 
 @REGISTRY.add(
     "normalized_urls",
-    f"""WITH {INC}, u AS (SELECT id, unnest("references").url AS url FROM inc), s AS (
-        SELECT id, url, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS t FROM u WHERE url IS NOT NULL
+    f"""WITH {INC}, u AS (SELECT DISTINCT id, unnest("references").url AS url FROM inc), s AS (
+        SELECT id, url, split_part(regexp_replace(trim(url), '^[hH][tT][tT][pP][sS]?://([wW][wW][wW][.])?', ''), '#', 1) AS t FROM u WHERE url IS NOT NULL
     ), p AS (
-        SELECT id, url, regexp_replace(regexp_replace(lower(split_part(t, '?', 1)), '^www[.]', ''), '/+$', '') AS path,
-               array_to_string(list_sort(list_filter(string_split(CASE WHEN contains(t, '?') THEN substr(t, strpos(t, '?') + 1) ELSE '' END, '&'), lambda x: x <> '' AND NOT regexp_full_match(lower(split_part(x, '=', 1)), 'utm_.*|fbclid|gclid|mc_cid|mc_eid|igshid|ref|ref_src|cmpid'))), '&') AS query FROM s)
-    SELECT id, url, CASE WHEN path <> '' THEN path || CASE WHEN query <> '' THEN '?' || query ELSE '' END END AS normalized FROM p""",
+        SELECT id, url, rtrim(lower(split_part(t, '?', 1)), '/') AS path, unnest(CASE WHEN contains(t, '?') THEN string_split(substr(t, strpos(t, '?') + 1), '&') ELSE [''] END) AS pair FROM s
+    ), n AS (
+        SELECT id, url, path, lower(split_part(pair, '=', 1)) AS k, CASE WHEN contains(pair, '=') THEN substr(pair, strpos(pair, '=') + 1) ELSE '' END AS v,
+               pair <> '' AND NOT regexp_full_match(lower(split_part(pair, '=', 1)), 'utm(_[a-z]+)?|(fb|g|d|y|mscl?k)c?l?k?id|mc_[a-z]+|igshid|ref_src|referrer|spm|cmp(id)?|icid|_g[al]|s_cid|iref|edt(sign|code)|scm|web_view|_com_liferay_.*') AS keep FROM p
+    )
+    SELECT id, url, nullif(path || coalesce('?' || string_agg(CASE WHEN v <> '' THEN k || '=' || v ELSE k END, '&' ORDER BY k, v) FILTER (keep), ''), '') AS normalized FROM n GROUP BY id, url, path""",
 )
 def normalized_urls(spark, folder):
     """References as they are compared."""
-    each = incidents(spark, folder, "id", "references").select("id", F.explode("references.url").alias("url")).where("url IS NOT NULL")
+    each = incidents(spark, folder, "id", "references").select("id", F.explode("references.url").alias("url")).where("url IS NOT NULL").distinct()
     return each.withColumn("normalized", urls.normalize_url(F.col("url")))
 
 

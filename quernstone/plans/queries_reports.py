@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quernstone.functions import arrays
+from quernstone.functions.identifiers import cve_ids
 from quernstone.operators import aggregates, diffs, enrich, estimates, health, identity, quality, redirects, sampling
 from quernstone.operators.latest import first_by, retained, upsert
 from quernstone.operators.search import SEVERITIES
@@ -199,15 +200,14 @@ def first_override(spark, folder):
     return enrich.first_hit(rows, "id", "sids", side, "sid", ["owner"]).select("id", "owner")
 
 
-_HOLD = "k AS (SELECT DISTINCT id, upper(trim(u)) AS cve FROM (SELECT id, unnest(cve_ids) AS u FROM inc) WHERE regexp_full_match(upper(trim(u)), 'CVE-[0-9]{4}-[0-9]{5,}')), t AS (SELECT id, substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')), 1, 80) AS tk FROM inc)"
+_HOLD = "k AS (SELECT DISTINCT id, upper(trim(u)) AS cve FROM (SELECT id, unnest(cve_ids) AS u FROM inc) WHERE regexp_full_match(upper(trim(u)), 'CVE-[0-9]{4}-[0-9]{4,9}')), t AS (SELECT id, substr(trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')), 1, 80) AS tk FROM inc)"
 
 
 @REGISTRY.add("would_merge", f"WITH {INC}, {_HOLD}, h AS (SELECT a.id, 0 AS r, 'cve' AS kind, b.id AS other FROM k a JOIN k b USING (cve) WHERE a.id <> b.id UNION ALL SELECT a.id, 1, 'title', b.id FROM t a JOIN t b USING (tk) WHERE a.id <> b.id) SELECT id, arg_min(kind, (r, other)) AS kind, arg_min(other, (r, other)) AS other FROM h GROUP BY id")
 def would_merge(spark, folder):
     """For each record the first kind of key that another record shares, and the smallest such record."""
     inc = incidents(spark, folder, "id", "title", "cve_ids")
-    good = F.filter(F.transform(arrays.strings(F.col("cve_ids")), lambda c: F.upper(F.trim(c))), lambda c: c.rlike("^CVE-[0-9]{4}-[0-9]{5,}$"))
-    rows = inc.select("id", F.array_distinct(good).alias("cves"), title_key(F.col("title")).alias("tk"))
+    rows = inc.select("id", cve_ids("cve_ids").alias("cves"), title_key(F.col("title")).alias("tk"))
     cves = rows.select(F.explode("cves").alias("cve"), "id")
     return enrich.by_priority(rows, "id", [("cve", cves, "cves"), ("title", rows.select("tk", "id"), "tk")], "other")
 

@@ -38,10 +38,15 @@ def read_json_rows(spark: SparkSession, path: str, schema: T.StructType | str, r
 
 
 def read_json_map(spark: SparkSession, path: str, value: T.DataType | str, key: str = "key") -> DataFrame:
-    """(key, value fields): the entries of a JSON object keyed by data; keys that start with _ are metadata."""
+    """(key, value fields): the entries of a JSON object keyed by data; keys that start with _ are metadata.
+
+    A file that holds no JSON object raises FeedShapeError's message when the rows are read; one without any
+    bytes has no entries.
+    """
     kind = T._parse_datatype_string(value) if isinstance(value, str) else value
     entries = F.from_json("value", T.MapType(T.StringType(), kind))
-    rows = spark.read.text(path, wholetext=True).select(F.explode(entries).alias(key, "v")).where(~F.startswith(F.col(key), F.lit("_")))
+    checked = F.coalesce(entries, F.raise_error(F.concat(F.lit("feed is no JSON object: "), F.col("_metadata.file_name"))).cast(T.MapType(T.StringType(), kind)))
+    rows = spark.read.text(path, wholetext=True).select(F.explode(checked).alias(key, "v")).where(~F.startswith(F.col(key), F.lit("_")))
     return rows.select(key, "v.*") if isinstance(kind, T.StructType) else rows.withColumnRenamed("v", "value")
 
 
@@ -92,20 +97,28 @@ def _members(allowed: str | None, largest: int):
 
     wanted = re.compile(allowed) if allowed else None
 
+    def fits(archive: str, member: str, size: int) -> None:
+        if size > largest:
+            raise FeedShapeError(f"{member} in {archive} has {size} bytes, more than the limit of {largest}")
+
     def files(name: str, content: bytes):
         if zipfile.is_zipfile(io.BytesIO(content)):
             with zipfile.ZipFile(io.BytesIO(content)) as z:
                 for info in z.infolist():
-                    if not info.is_dir() and info.file_size <= largest:
+                    if info.is_dir():
+                        continue
+                    if info.filename.endswith(".zip") or not wanted or wanted.search(info.filename):
+                        fits(name, info.filename, info.file_size)
                         data = z.read(info)
                         if info.filename.endswith(".zip"):
                             yield from files(f"{name}!{info.filename}", data)
-                        elif not wanted or wanted.search(info.filename):
+                        else:
                             yield info.filename, data
         else:
             with tarfile.open(fileobj=io.BytesIO(content), mode="r:*") as t:
                 for info in t:
-                    if info.isfile() and info.size <= largest and (not wanted or wanted.search(info.name)):
+                    if info.isfile() and (not wanted or wanted.search(info.name)):
+                        fits(name, info.name, info.size)
                         yield info.name, t.extractfile(info).read()
 
     def run(batches):
@@ -120,8 +133,9 @@ def _members(allowed: str | None, largest: int):
 def read_archives(spark: SparkSession, path: str, member_pattern: str | None = None, largest_member: int = 256 << 20) -> DataFrame:
     """(archive, member, content) of the files in ZIP and TAR archives, ZIPs inside ZIPs included.
 
-    Archives are read in parallel, each by one task, as their formats ask.  Members beyond
-    ``largest_member`` bytes and those that don't match the pattern are left out; nothing is written to disk.
+    Archives are read in parallel, each by one task, as their formats ask.  Members that don't match the
+    pattern are left out; one of more than ``largest_member`` bytes is an error, as it would not fit into a
+    task.  Nothing is written to disk.
     """
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(_members(member_pattern, largest_member), "archive string, member string, content binary")
 

@@ -27,7 +27,14 @@ def test_text(spark):
 
 
 def test_urls(spark):
-    cases = {"HTTPS://www.A.example/Path/?b=2&utm_source=x&a=Q#f": "a.example/path?a=Q&b=2", "http://a.example": "a.example", "a.example/x/": "a.example/x", "https://a.example/?fbclid=1": "a.example", "": None, "  ": None}
+    cases = {
+        "HTTPS://www.A.example/Path/?b=2&utm_source=x&a=Q#f": "a.example/path?a=Q&b=2", "http://a.example": "a.example", "a.example/x/": "a.example/x", "https://a.example/?fbclid=1": "a.example", "": None, "  ": None, None: None,
+        "https://a.example/v.html?idxno=111": "a.example/v.html?idxno=111", "https://a.example/s?&web_view=true": "a.example/s", "https://a.example/s//#x": "a.example/s",
+        "https://a.example/y.py?ref=main": "a.example/y.py?ref=main", "https://a.example/s?ref_src=t&referrer=f&msclkid=1&yclid=2&_ga=3&utm=4&utm_=5": "a.example/s?utm_=5",
+        "https://a.example/x?TOKEN=AbC&ID=7": "a.example/x?id=7&token=AbC", "https://a.example/x?token=abc&b&a=1=2": "a.example/x?a=1=2&b&token=abc", "https://a.example/x?mc_eid=1&mc_2=2": "a.example/x?mc_2=2",
+        "https://a.example/c?p_r_p_assetEntryId=12&_com_liferay_asset_X_redirect=https%3A%2F%2Fb": "a.example/c?p_r_p_assetentryid=12", "https://a.example/x?a=10&a=9": "a.example/x?a=10&a=9", "https://a.example/x?a-b=1&a=2": "a.example/x?a=2&a-b=1",
+        "ftp://www.a.example/Z": "ftp://www.a.example/z", "https://a.example/x?edtsign=1&edtcode=2&scm=3&iref=4&dclid=5&spm=6&icid=7&_gl=8&s_cid=9&cmp=1&cmpid=2&igshid=3&gclid=4": "a.example/x",
+    }
     assert values(spark, urls.normalize_url, list(cases)) == list(cases.values())
 
 
@@ -57,6 +64,13 @@ def test_dates(spark):
     assert values(spark, dates.first_year, ["in 1999 or 2005", "x20201", "12345", None]) == [1999, None, None, None]
 
 
+def test_cve_ids(spark):
+    from quernstone.functions.identifiers import cve_ids
+
+    df = spark.createDataFrame([([" cve-2024-1234", "CVE-2024-1234567890", "CVE-2024-123", "CVE-2024-1234", None],), (None,)], "x array<string>")
+    assert [r[0] for r in df.select(cve_ids("x")).collect()] == [["CVE-2024-1234"], []]
+
+
 def test_query_state():
     spec = QuerySpec(filters={"year": 2025, "severity": "High"}, has=["cve_ids"], text="a b&c", sort="title", page=3, size=100, standing_only=True)
     assert QuerySpec.from_url(spec.to_url()) == spec

@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from quernstone.operators.snapshots import day, snapshot_changes
@@ -41,6 +42,20 @@ def test_against_plain_comparison(spark):
     assert changes(spark.createDataFrame(rows, SCHEMA)) == sorted(want, key=lambda r: r[:3])
 
 
+def test_equally_late_rows_that_differ(spark):
+    # The greater values hold, whatever their hashes, also when a version comes several times.
+    rows = [(day, f"k{i}", v, 1, "", 0) for i in range(40) for day in ("2026-01-01", "2026-02-01") for v in ("a", "b", "b", f"c{i}") if not (v == "a" and i % 2)]
+    assert changes(spark.createDataFrame(rows, SCHEMA).repartition(3)) == []
+    more = rows + [("2026-02-01", "k7", "d", 1, "", 0)]
+    assert changes(spark.createDataFrame(more, SCHEMA)) == [("2026-02-01", "K7", "changed", "c7", "d")]
+
+
+def test_orders(spark):
+    df = spark.createDataFrame([("2026-01-01", "a", "x", "late")], "snapshot_on string, id string, status string, received string")
+    with pytest.raises(TypeError, match="whole numbers"):
+        changes(df)
+
+
 def test_days(spark):
     texts = ["2024-10-21", "2024/10/21", "20241021", "2024-10-21T00:00:00Z", " 2024-10-21 ", "2024.10.21", "", " ", None, "Soon", "202410210"]
     got = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "t string").select(day("t")).collect()]

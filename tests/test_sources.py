@@ -25,6 +25,22 @@ def test_json_maps(spark, tmp_path):
     assert sorted(map(tuple, readers.read_json_map(spark, str(tmp_path / "m.json"), "a int").collect()), key=str) == [("k1", 1), ("k2", None)]
 
 
+def test_json_maps_of_another_shape(spark, tmp_path):
+    for bad in ('{"k1": {"a": 1', "[1]"):
+        (tmp_path / "bad.json").write_text(bad)
+        with pytest.raises(Exception, match="no JSON object"):
+            readers.read_json_map(spark, str(tmp_path / "bad.json"), "a int").collect()
+
+
+def test_members_that_do_not_fit(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "o.zip", "w") as z:
+        z.writestr("big.json", "1" * 2000)
+        z.writestr("small.json", "1")
+    assert readers.read_archives(spark, str(tmp_path), "small").count() == 1
+    with pytest.raises(Exception, match="more than the limit"):
+        readers.read_archives(spark, str(tmp_path), largest_member=1000).collect()
+
+
 def test_csv_headers(spark, tmp_path):
     (tmp_path / "t.csv").write_text('Ref,,"Head Line"\n,Occurred,\n1,2020,"a, ""b"""\n2,,c\n')
     aliases = {"id": ["ref"], "date": ["occurred"], "title": ["head line"], "extra": ["none"]}
