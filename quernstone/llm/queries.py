@@ -12,7 +12,7 @@ from quernstone.llm.mixing import mix_sources
 from quernstone.llm.near_duplicates import near_duplicates
 from quernstone.llm.packing import fill_rates, pack_texts
 from quernstone.llm.survivors import Bundle, Dependency, surviving_records
-from quernstone.llm.truncation import truncated_texts, truncation_rates
+from quernstone.llm.truncation import length_limits, truncated_texts, truncation_rates
 from quernstone.plans.lineage import cut
 from quernstone.plans.reducer import Reducer
 from quernstone.plans.registry import Registry, table
@@ -152,6 +152,28 @@ def p10_rates(spark, folder):
     return truncation_rates(truncated_texts(table(spark, folder, "documents"), "doc_id", "text", "source"))
 
 
+@REGISTRY.add(
+    "p10_lengths",
+    """
+    WITH once AS (
+        SELECT DISTINCT source, text FROM documents WHERE text <> ''
+    ), sizes AS (
+        SELECT source, 'characters' AS unit, length(text) AS size FROM once UNION ALL SELECT source, 'bytes', strlen(text) FROM once
+    ), per AS (
+        SELECT source, unit, size, count(*) AS texts, size // 40 AS bin FROM sizes GROUP BY source, unit, size
+    ), near AS (
+        SELECT p.source, p.unit, p.size, p.texts, (sum(o.texts) - p.texts) / 119.0 AS usual
+        FROM per p JOIN per o ON o.source IS NOT DISTINCT FROM p.source AND o.unit = p.unit AND o.bin BETWEEN p.bin - 1 AND p.bin + 1
+        WHERE p.texts >= 5 GROUP BY p.source, p.unit, p.size, p.texts
+    )
+    SELECT source, unit, size::INT AS size, texts, usual FROM near WHERE texts >= 8 * usual + 1
+    """,
+)
+def p10_lengths(spark, folder):
+    """Lengths at which a source's texts pile up, which hint at field limits."""
+    return length_limits(table(spark, folder, "documents"), "text", "source")
+
+
 def _packed(spark, folder):
     return pack_texts(table(spark, folder, "documents"), table(spark, folder, "pack_limits"), "doc_id", "text", "source")
 

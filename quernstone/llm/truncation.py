@@ -1,24 +1,24 @@
-"""Texts that stop before their author did.
+"""Texts that stop before their author did, found by prefix self-joins at two levels.
 
-Truncated values are strict prefixes of longer ones, and prefixes are matched by hash at two levels.
+*Texts.*  All texts are sorted, and a text is followed by those it is a strict prefix of.  If a longer one
+goes on in the same line, the shorter one was cut; if all go on with a new line, it wasn't.
 
-*Sentences.*  Every sentence of the corpus is entered under its first few words (names and numbers
-replaced by a sign), counted by whether it ends in a full stop.  A text's unfinished last sentence is
-looked up by the same fixed-length prefix: if such sentences elsewhere run on to a full stop, this one
-was cut; if they usually end without one (headings, lists, notes, links), it is complete.
+*Sentences.*  Whole texts that occur once cut and once in full are rare, but sentences are told again and
+again.  Every sentence of the corpus is entered by hash under its first one to six words and under the
+beginnings of its first word, with names and numbers as signs, counted by whether it runs on to a full stop
+(``sentences``).  A text's unfinished last sentence is looked up under the words that are certainly whole.
+If most sentences elsewhere of which they are a strict prefix run on to a full stop, it was cut; if they
+usually end without one (headings, lists, notes, links), it is complete.
 
-*Documents.*  A text with an open end is looked up among all texts with the same beginning: if a longer
-copy continues it on the same line, it was cut; if the copy goes on with a new line, it wasn't.
-
-An open end at a length that far more texts of its source have than their neighbours also counts as a
-cut.  Marks put after the cut, signatures and notes of mail programs are taken off first.
+Marks put after the cut, signatures and notes of mail programs are taken off first.  Verdicts belong to
+texts, so copies of a text share theirs and count as one piece of evidence.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -26,80 +26,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quernstone.functions import textscan
-from quernstone.plans.lineage import Cut
-from quernstone.plans.reducer import Reducer
-
-#: Characters by which texts are first brought together with longer copies.
-BEGINNING = 64
-#: Numbers of leading words under which a sentence is entered.
-PREFIXES = (1, 2, 3, 4, 5, 6)
-#: Sentences with the same beginning, the text's own among them, that make a beginning known.
-EVIDENCE = 2
-#: Share of full stops among sentences with the same beginning from which an open one counts as cut.
+from quernstone.llm import sentences
+from quernstone.plans.lineage import Cut, cut
+
+#: Other sentences with the same beginning that make it known.
+EVIDENCE = 1
+#: Share of full stops among other sentences with the same beginning from which an open one counts as cut.
 RUNS_ON = 0.5
-#: Key of an ending inside an open code block.
-BLOCK = "```"
+#: Words that an ending at the start of its line must share with sentences that run on.
+LINE_WORDS = 2
 #: An ending after a mark is a standing phrase from this many words, this share of all marked endings and so many different texts on.
 STANDING_WORDS, STANDING_SHARE, STANDING_TEXTS = 3, 0.02, 3
+#: Rows that a task sorts.
+TASK_ROWS = 100_000
+#: First characters by which endings at the border of two tasks meet their longer copies.
+BORDER = 16
 #: A length is a limit if this many texts of a source have it, and this many times as many as lengths near it.
 LIMIT_TEXTS, LIMIT_TIMES, NEAR = 5, 8.0, 40
-#: Shorter texts pile up at some lengths without any limit.
-LEAST_LIMIT = 120
 
-# Marks after a cut, closing notes, sentence ends.
-MARKS = re.compile(r"(?:\s*(?:\[(?:\.{2,}|…|more|continued|truncated|cut|snip)\]|\((?:\.{2,}|…|more|continued|truncated)\)|\.{3,}|…|(?i:\b(?:read more|continue reading|view more))\s*[»›>]*))+\s*$")
+# Marks after a cut and closing notes.
+MARKS = re.compile(r"(?:\s*(?:\[(?:\.{2,}|…|more|continued|truncated|cut|snip)\]|\((?:\.{2,}|…|more|continued|truncated)\)|\.{2,}|…|(?i:\b(?:read more|continue reading|view more))\s*[»›>]*))\s*$")
 NOTES = re.compile(r"\n(?:-- ?\n[^\n]*(?:\n[^\n]*){0,3}|\[Message clipped\][^\n]*|\[(?i:message|text|mail)[^\]\n]*(?i:clipped|truncated|shortened)[^\]\n]*\][^\n]*)\s*$")
-STOP = re.compile(r"(?:[.!?][\"'”’»)\]]*(?=\s)|[。！？][」』”）]*)")
-CLOSED = re.compile(r"[.!?。！？:][\"'”’»)\]」』）*_`]*$")
-#: Marks after a cut are looked for in so many last characters at a time.
-MARK_LENGTH = 200
-SPEAKER = re.compile(r"^(?:#+ |Subject: |[-*•] |\[[0-9]+\] |[a-z]+ ?[0-9]*[>:] )")
-TOKEN = re.compile(r"[^\W一-鿿぀-ヿ]+(?:[./'’_-][^\W一-鿿぀-ヿ]+)*|[^\s\w]|[一-鿿぀-ヿ]")
-CODE = re.compile(r"[0-9_/]")
-
-
-def _tokens(text: str, most: int) -> list[str]:
-    """The first words, names as X, numbers and code as 0, repetitions of either once.
-
-    A sentence's first word has a capital anyway: it is a name only if it is longer than an article and
-    the next word has a capital too.
-    """
-    raw = [m.group() for m in islice(TOKEN.finditer(text, 0, 160), most + 4)]
-    out: list[str] = []
-    last = ""
-    for i, w in enumerate(raw):
-        if CODE.search(w):
-            w = "0"
-        elif w[0].isupper() and len(w) > 1 and (i or len(w) > 3 and len(raw) > 1 and raw[1][0].isupper()):
-            w = "X"
-        else:
-            out.append(w.lower())
-            last = ""
-            if len(out) == most:
-                break
-            continue
-        if w != last:
-            out.append(w)
-            last = w
-            if len(out) == most:
-                break
-    return out
-
-
-def sentences(text: str):
-    """(sentence, whether it ends in a full stop, whether it starts its line) of each sentence of each line."""
-    for line in text.split("\n"):
-        line = line.strip()
-        if not line:
-            continue
-        at = 0
-        for m in STOP.finditer(line):
-            if m.end() < len(line):
-                yield line[at : m.end()].strip(), True, at == 0
-                at = m.end()
-        rest = line[at:].strip()
-        if rest:
-            yield rest, bool(CLOSED.search(rest)), at == 0
+#: Longest mark, blanks before it not counted.
+MARK_LENGTH = 40
+FENCE = "```"
 
 
 def _bare(text: str) -> tuple[str, str]:
@@ -113,7 +63,8 @@ def _bare(text: str) -> tuple[str, str]:
         body = body[:at].rstrip()
     bare = body
     while bare and (bare[-1] in "])….»›>" or bare[-4:].lower() == "more" or bare[-7:].lower() == "reading"):
-        tail = max(0, len(bare) - MARK_LENGTH)
+        # Blanks before a mark may be many, the mark itself has a known length at most.
+        tail = len(bare[: max(0, len(bare) - MARK_LENGTH)].rstrip())
         shorter = bare[:tail] + MARKS.sub("", bare[tail:])
         if shorter == bare:
             break
@@ -121,200 +72,236 @@ def _bare(text: str) -> tuple[str, str]:
     return body, bare
 
 
-def ending(text: str) -> tuple[str, bool, bool, str, int]:
-    """(last sentence if open else "", mark taken off, whether it starts its line, its beginning's key, length used).
+def _one_line_blocks(text: str) -> str:
+    """Each code block as one sentence, which has a stop if the block was closed."""
+    if FENCE not in text:
+        return text
+    parts = text.split(FENCE)
+    out = [parts[0]]
+    for i, part in enumerate(parts[1:], 1):
+        if i % 2:
+            out.append("\n" + " ".join(part.split()).replace(". ", " ") + (" .\n" if i + 1 < len(parts) else ""))
+        else:
+            out.append(part)
+    return "".join(out)
+
 
-    The key is that of the longest prefix in PREFIXES that leaves out the last, perhaps cut word; in a
-    code block that was never closed it is BLOCK.
-    """
-    body, bare = _bare(text)
-    marked = bare != body
-    if not bare:
-        return "", marked, True, "", 0
-    line = bare[bare.rfind("\n") + 1 :]
-    last, closed, first = "", True, True
-    for last, closed, first in sentences(line[-4000:]):
-        pass
-    if bare.count("```") % 2:
-        return last or line, marked, first, BLOCK, len(bare)
-    if closed or line.startswith("```"):
-        return "", marked, first, "", len(bare)
-    words = _tokens(SPEAKER.sub("", last), PREFIXES[-1] + 1)
-    n = max((p for p in PREFIXES if p <= len(words) - 1), default=0)
-    return last, marked, first, " ".join(words[:n]) if n else "", len(bare)
-
-
-def _beginning(text: str) -> int:
-    codes, _ = textscan.code_points([text[:BEGINNING]])
-    return int(textscan.run_hashes(codes, np.array([0]), np.array([len(codes)])).view(np.int64)[0])
-
-
-def _hash_prefixes(text: str, lengths: list[int]) -> np.ndarray:
-    codes, _ = textscan.code_points([text])
-    ends = np.array(lengths, np.int64)
-    return textscan.run_hashes(codes, np.zeros(len(ends), np.int64), ends).view(np.int64)
-
-
-_ENDS = "id {id}, source string, chars int, bytes int, open string, marked boolean, first boolean, key string, used int, beginning bigint, whole bigint, content bigint, own boolean, prefix string, stops bigint, opens bigint"
-
-
-def _add_sentences(text: str, stops: dict[str, int], opens: dict[str, int], times: int = 1) -> None:
-    """Enters the text's sentences under all their beginnings."""
-    for sentence, closed, starts in sentences(text):
-        words = _tokens(SPEAKER.sub("", sentence) if starts else sentence, PREFIXES[-1])
-        where = stops if closed else opens
-        beginning = ""
-        for w in words:
-            beginning = f"{beginning} {w}" if beginning else w
-            where[beginning] = where.get(beginning, 0) + times
-
-
-def _own(text: str, last: str, key: str) -> bool | None:
-    """How the text's last sentence is entered under its key: whether as closed, null if it isn't."""
-    if not last or key in ("", BLOCK):
-        return None
-    own = next(((s, closed, starts) for s, closed, starts in reversed(list(sentences(text))) if s.startswith(last)), None)
-    if own is None:
-        return None
-    words = _tokens(SPEAKER.sub("", own[0]) if own[2] else own[0], PREFIXES[-1])
-    return own[1] if " ".join(words).startswith(key) else None
-
-
-def _spare_sentences(batches):
-    """(prefix, stops, opens) to take off: of texts that occur several times, all but one.  Rows in: text, times."""
-    for batch in batches:
-        stops: dict[str, int] = {}
-        opens: dict[str, int] = {}
-        for text, times in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            _add_sentences(text, stops, opens, 1 - times)
-        seen = sorted(stops.keys() | opens.keys())
-        yield pa.RecordBatch.from_arrays([pa.array(seen, pa.string()), pa.array([stops.get(s, 0) for s in seen], pa.int64()), pa.array([opens.get(s, 0) for s in seen], pa.int64())], names=["prefix", "stops", "opens"])
+def _content(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
+
+
+def _signed(x: np.ndarray) -> pa.Array:
+    return pa.array(x.view(np.int64))
+
+
+_ENDS = "id {id}, source string, content bigint, bare string, open boolean, marked boolean, first boolean, alone boolean, words int, phrase bigint, tried array<bigint>, beginning bigint, stops bigint, opens bigint, inner bigint"
+_NAMES = [f.split()[0] for f in _ENDS.split(", ")]
+
+
+def _ends(texts: list[str], bare: bool = False):
+    """(bare texts, marked, and of each text whether its end is open, starts its line, is its only sentence, its words,
+    its phrase and the hashes under which to look it up, the longest first), chunk by chunk with the found sentences; ``bare`` texts are taken as they are."""
+    both = [(t, t) if bare else _bare(t) for t in texts]
+    for start, part in textscan.chunks([_one_line_blocks(b) for _, b in both]):
+        n = len(part)
+        is_open, first, alone, words, phrase, tried = np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, bool), np.zeros(n, np.int32), np.zeros(n, np.int64), [[] for _ in range(n)]
+        found = sentences.scan(part)
+        if found is not None:
+            at = np.flatnonzero(found.last & ~found.closed)
+            who = found.text[at]
+            is_open[who], first[who], words[who], phrase[who] = True, found.first[at], found.words[at], found.phrase[at].view(np.int64)
+            alone[who] = np.bincount(found.text, minlength=n)[who] == 1
+            # The last word may be cut; a label before a colon says nothing by itself.
+            whole = np.minimum(found.words[at] - 1, sentences.PREFIXES)
+            for s, t, n_words in zip(at.tolist(), who.tolist(), whole.tolist()):
+                least = max(1, min(int(found.label[s]) + 1, n_words))
+                row = found.prefixes[s].view(np.int64)
+                tried[t] = [int(row[p - 1]) for p in range(n_words, least - 1, -1)] if n_words > 0 else [int(found.part[s : s + 1].view(np.int64)[0])]
+        yield [b for _, b in both[start : start + n]], [a != b for a, b in both[start : start + n]], is_open, first, alone, words, phrase, tried, found
 
 
 def _scan(batches):
     """Rows of the texts' endings and, of each task, rows of sentence beginnings."""
     for batch in batches:
-        schema_id = batch.schema.field(0).type
-        for first in range(0, batch.num_rows, 2_000):
-            part = batch.slice(first, 2_000)
+        kind = batch.schema.field(0).type
+        for first_row in range(0, batch.num_rows, 2_000):
+            part = batch.slice(first_row, 2_000)
             texts = [t or "" for t in part.column(2).to_pylist()]
-            stops: dict[str, int] = {}
-            opens: dict[str, int] = {}
-            rows = []
-            for text in texts:
-                _add_sentences(text, stops, opens)
-                last, marked, starts, key, used = ending(text)
-                whole = int(_hash_prefixes(text, [used])[0]) if last and used >= BEGINNING else None
-                encoded = text.encode("utf-8", "replace")
-                content = int.from_bytes(hashlib.blake2b(encoded, digest_size=8).digest(), "little", signed=True)
-                rows.append((len(text), len(encoded), last[:200], marked, starts, key, used, _beginning(text) if len(text) >= BEGINNING else None, whole, content, _own(text, last, key)))
-            none = pa.nulls(len(rows), pa.int64())
-            kinds = [pa.int32(), pa.int32(), pa.string(), pa.bool_(), pa.bool_(), pa.string(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
-            columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
-            names = ["id", "source", "chars", "bytes", "open", "marked", "first", "key", "used", "beginning", "whole", "content", "own", "prefix", "stops", "opens"]
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *columns, pa.nulls(len(rows), pa.string()), none, none], names=names)
-            seen = sorted(stops.keys() | opens.keys())
-            yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(seen), schema_id), pa.nulls(len(seen), pa.string()), *(pa.nulls(len(seen), k) for k in kinds), pa.array(seen, pa.string()), pa.array([stops.get(s, 0) for s in seen], pa.int64()), pa.array([opens.get(s, 0) for s in seen], pa.int64())],
-                names=names,
-            )
-
-
-def _longer_copies(batches):
-    """(beginning, used, whole, runs): prefixes of the wanted lengths of each text, and how the text goes on."""
+            at = 0
+            for bare, marked, is_open, first, alone, words, phrase, tried, found in _ends(texts):
+                n = len(bare)
+                content = [_content(t) for t in texts[at : at + n]]
+                none = pa.nulls(n, pa.int64())
+                columns = [part.column(0).slice(at, n), part.column(1).slice(at, n), pa.array(content, pa.int64()), pa.array(bare, pa.string()), pa.array(is_open), pa.array(marked), pa.array(first), pa.array(alone), pa.array(words), pa.array(phrase), pa.array(tried, pa.list_(pa.int64())), none, none, none, none]
+                yield pa.RecordBatch.from_arrays(columns, names=_NAMES)
+                if found is not None:
+                    yield _beginning_rows(kind, *sentences.beginnings(found, np.ones(n)))
+                at += n
+
+
+def _beginning_rows(kind: pa.DataType, keys: np.ndarray, *counts: np.ndarray) -> pa.RecordBatch:
+    n = len(keys)
+    kinds = [kind, pa.string(), pa.int64(), pa.string(), *[pa.bool_()] * 4, pa.int32(), pa.int64(), pa.list_(pa.int64())]
+    return pa.RecordBatch.from_arrays([*(pa.nulls(n, k) for k in kinds), _signed(keys), *map(pa.array, counts)], names=_NAMES)
+
+
+def _spare(batches):
+    """(beginning, stops, opens, inner) to take off: of bare texts that occur several times, all but one.  Rows in: text, times."""
     for batch in batches:
-        out = ([], [], [], [])
-        for beginning, text, lengths in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            own = len(_bare(text)[1])
-            fit = [n for n in lengths if n < own]
-            if fit:
-                for n, h in zip(fit, _hash_prefixes(text, fit).tolist()):
-                    for column, value in zip(out, (beginning, n, h, "\n" not in text[n : len(text) - len(text[n:].lstrip())])):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.bool_())], names=["beginning", "used", "whole", "runs"])
+        texts, times = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+        at = 0
+        for bare, *_, found in _ends(texts, bare=True):
+            if found is not None:
+                keys, *counts = sentences.beginnings(found, 1.0 - times[at : at + len(bare)])
+                yield pa.RecordBatch.from_arrays([_signed(keys), *map(pa.array, counts)], names=_NAMES[-4:])
+            at += len(bare)
+
+
+def goes_on(text: str, longer: str) -> tuple[bool, bool]:
+    """How ``longer`` goes on after its prefix ``text``: in the same line, and with no blank between."""
+    rest = longer[len(text) :]
+    blank = rest[: len(rest) - len(rest.lstrip())]
+    return "\n" not in blank, not blank
+
+
+def _neighbours(batches):
+    """Rows in: value and its hash, sorted.  Rows (hash, runs, direct, value): of each value that begins the
+    next ones, how these go on; those that may begin values of the next task have their text too."""
+    stack: list[list] = []  # value, hash, found, runs, direct
+    out: list[tuple] = []
+
+    def flush():
+        rows = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.bool_(), pa.bool_(), pa.string()))]
+        out.clear()
+        return pa.RecordBatch.from_arrays(rows, names=["hash", "runs", "direct", "value"])
+
+    for batch in batches:
+        for value, key in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            if stack and stack[-1][1] == key and stack[-1][0] == value:
+                continue
+            while stack and not value.startswith(stack[-1][0]):
+                done = stack.pop()
+                if done[2]:
+                    out.append((done[1], done[3], done[4], None))
+            for entry in stack:
+                if not (entry[3] and entry[4]):
+                    runs, direct = goes_on(entry[0], value)
+                    entry[2:] = [True, entry[3] or runs, entry[4] or direct]
+            stack.append([value, key, False, False, False])
+        if out:
+            yield flush()
+    for value, key, found, runs, direct in stack:
+        if found:
+            out.append((key, runs, direct, None))
+        out.append((key, None, None, value))
+    if out:
+        yield flush()
+
+
+def longer_copies(values: DataFrame, width: int) -> DataFrame:
+    """(hash, runs, direct): of each value that is a strict prefix of others, whether one of them goes on in the
+    same line, and whether one does so without a blank.  ``values`` has value (not null), hash and a salt.
+
+    The values are sorted over all tasks, equal ones spread by their salt, so that neither a common
+    beginning nor a common value gathers in one task.
+    """
+    ordered = values.select("value", "hash", "salt").repartitionByRange(width, "value", "salt").sortWithinPartitions("value").select("value", "hash")
+    seen = cut(ordered.mapInArrow(_neighbours, "hash bigint, runs boolean, direct boolean, value string"), "neighbours")
+    inside = seen.where("value IS NULL").select("hash", "runs", "direct")
+    # The last values of each task, at most as many as tasks and the prefixes that begin each other there.
+    edges = seen.where("value IS NOT NULL").select(F.col("value").alias("edge"), F.col("hash").alias("edge_hash")).distinct()
+    near = values.select("value")
+    longer = F.col("value").startswith(F.col("edge")) & (F.length("value") > F.length("edge"))
+    long = edges.where(F.length("edge") >= BORDER).join(near, F.substring("value", 1, BORDER).eqNullSafe(F.substring("edge", 1, BORDER)) & longer)
+    short = edges.where((F.length("edge") < BORDER) & (F.length("edge") > 0)).join(near, F.substring("value", 1, 1).eqNullSafe(F.substring("edge", 1, 1)) & longer)
+    blank = F.regexp_extract(F.substr(F.col("value"), F.length("edge") + 1), r"(?U)^\s*", 0)
+    across = long.unionByName(short).select(F.col("edge_hash").alias("hash"), (~F.contains(blank, F.lit("\n"))).alias("runs"), (blank == "").alias("direct"))
+    return inside.unionByName(across).groupBy("hash").agg(F.max("runs").alias("runs"), F.max("direct").alias("direct"))
+
+
+def _sentence_evidence(endings: DataFrame, beginnings: DataFrame) -> DataFrame:
+    """(content, runs_on, usual_end): whether other sentences that begin like a text's open end usually run on, or end so.
+
+    Of the beginnings tried, the longest that other sentences have decides.  An ending that starts its line
+    must share LINE_WORDS words at least.
+    """
+    tried = endings.select("content", "first", "words", F.posexplode("tried").alias("place", "beginning"))
+    # An ending within its line is set against such sentences only.  The text's own is among those counted.
+    opens = F.when(F.col("first"), F.col("opens")).otherwise(F.col("inner")) - 1
+    known = tried.join(beginnings, "beginning").withColumn("opens", opens).where(F.col("stops") + F.col("opens") >= EVIDENCE)
+    # The longest one tried has this many words.
+    most = F.least(F.col("words") - 1, F.lit(sentences.PREFIXES))
+    best = known.groupBy("content").agg(F.min_by(F.struct("stops", "opens", "first", (most - F.col("place")).alias("length")), "place").alias("e"))
+    runs_on = (F.col("e.stops") > RUNS_ON * (F.col("e.stops") + F.col("e.opens"))) & (~F.col("e.first") | (F.col("e.length") >= LINE_WORDS))
+    usual_end = F.col("e.stops") <= RUNS_ON * (F.col("e.stops") + F.col("e.opens"))
+    return best.select("content", runs_on.alias("runs_on"), usual_end.alias("usual_end"))
 
 
 def truncated_texts(df: DataFrame, id_column: str, text_column: str, source_column: str) -> DataFrame:
     """(id, source, truncated, why): every text with a verdict.
 
-    ``why`` is copy, limit, block or sentence for a truncated text, else null.  Null and empty texts are complete;
-    a null source is a source of its own; repeated rows each get their verdict; other columns are ignored.
+    ``why`` is copy or sentence for a truncated text, by the kind of longer value that it is a prefix of, else
+    null.  Null and empty texts are complete; a null source is a source of its own; repeated rows each get
+    their verdict; other columns are ignored, whatever their names.  Texts of any length are read in full.
     """
+    spark = df.sparkSession
     rows = df.select(F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), F.col(text_column).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     scanned = Cut(rows.mapInArrow(_scan, _ENDS.format(id=kind)), "endings").read()
-    ends = scanned.where("chars IS NOT NULL").drop("prefix", "stops", "opens")
+    ends = scanned.where("content IS NOT NULL")
 
     # A text that occurs several times is evidence once: its other copies' sentences are taken off again.
-    hashed = rows.where("text <> ''").withColumn("hash", F.xxhash64("text"))
-    repeated = Cut(hashed.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1"), "repeated").read()
-    held = Reducer(repeated, F.col("hash")).keep(hashed.select("text", "hash"), F.col("hash"))
-    once = held.groupBy("hash").agg(F.any_value("text").alias("text"), F.count("*").alias("times")).where("times > 1")
-    spare = once.select("text", "times").mapInArrow(_spare_sentences, "prefix string, stops bigint, opens bigint")
-    counted = scanned.where("prefix IS NOT NULL").select("prefix", "stops", "opens").unionByName(spare)
-    prefixes = counted.groupBy("prefix").agg(F.sum("stops").alias("stops"), F.sum("opens").alias("opens"))
-
-    phrase = F.regexp_replace(F.lower("open"), "[0-9]+", "0")
-    # Copies of a text say no more of its ending than one of them.
-    marked = ends.where("marked AND open <> ''").where(F.size(F.split("open", r"\s+")) >= STANDING_WORDS).select(phrase.alias("phrase"), "content").distinct()
+    hashed = ends.where("bare <> ''").select(F.col("bare").alias("text"), F.xxhash64("bare").alias("hash"))
+    repeated = cut(hashed.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1"), "repeated")
+    once = hashed.join(repeated.select("hash"), "hash", "left_semi").groupBy("hash").agg(F.any_value("text").alias("text"), F.count("*").alias("times"))
+    spare = once.select("text", "times").mapInArrow(_spare, "beginning bigint, stops bigint, opens bigint, inner bigint")
+    counted = scanned.where("beginning IS NOT NULL").select(*_NAMES[-4:]).unionByName(spare)
+    beginnings = counted.groupBy("beginning").agg(*(F.sum(c).alias(c) for c in _NAMES[-3:]))
+
+    endings = ends.where("open").select("content", "marked", "first", "words", "phrase", "tried").dropDuplicates(["content"])
+    evidence = _sentence_evidence(endings, beginnings)
+
+    marked = ends.where("open AND marked").where(F.col("words") >= STANDING_WORDS).select("phrase", "content").distinct()
     share = STANDING_SHARE * marked.agg(F.count("*")).scalar()
-    standing = marked.groupBy("phrase").count().where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= share)).select("phrase")
-
-    opened = ends.where("open <> ''")
-    # Each ending by all its prefixes; the longest that enough sentences share decides.
-    columns = opened.columns
-    words = F.split("key", " ")
-    after_label = (F.array_position(words, ":") + 1).cast("int")  # a label before a colon says nothing by itself
-    lengths = F.when((F.col("key") == "") | (F.col("key") == BLOCK), F.array(F.lit(0))).otherwise(F.sequence(F.least(after_label, F.size(words)), F.size(words)))
-    tried = opened.groupBy(*columns).agg(F.count("*").alias("copies")).withColumn("length", F.explode(lengths)).withColumn("prefix", F.array_join(F.slice(words, 1, F.col("length")), " ")).join(prefixes, "prefix", "left")
-    known = F.when(F.col("stops") + F.col("opens") >= EVIDENCE, F.col("length"))
-    own = F.col("own").cast("int")
-    keyed = tried.groupBy(*columns, "copies").agg(F.max_by(F.struct("stops", "opens"), known).alias("e"), F.max(known).alias("depth")).select(*columns, "copies", "depth", "e.stops", "e.opens")
-    # Of the sentences counted, the text's own one says nothing of how such sentences end.
-    stops, opens = F.coalesce(F.col("stops") - F.coalesce(own, F.lit(0)), F.lit(0)), F.coalesce(F.col("opens") - F.coalesce(1 - own, F.lit(0)), F.lit(0))
-    keyed = keyed.withColumn("runs_on", F.coalesce((stops > RUNS_ON * (stops + opens)) & (F.col("depth") >= 2), F.lit(False))).withColumn("usual_end", F.col("first") & (opens > 0) & (stops <= RUNS_ON * (stops + opens))).drop("stops", "opens", "depth")
-
-    def limits(size: str) -> DataFrame:
-        """Lengths at which a source's texts pile up: at most 1 / LIMIT_TEXTS of all, as a rule a few per source."""
-        per = ends.groupBy("source", F.col(size).alias("size")).count()
-        bins = per.select("source", F.explode(F.array((F.expr(f"size div {NEAR}")), F.expr(f"size div {NEAR}") - 1, F.expr(f"size div {NEAR}") + 1)).alias("bin"), "count").groupBy("source", "bin").agg(F.sum("count").alias("around"))
-        spikes = per.where((F.col("count") >= LIMIT_TEXTS) & (F.col("size") >= LEAST_LIMIT)).withColumn("bin", F.expr(f"size div {NEAR}"))
-        near = spikes.alias("p").join(bins.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.bin") == F.col("b.bin")))
-        usual = (F.col("around") - F.col("count")) / (3 * NEAR - 1)
-        piled = near.where(F.col("count") >= LIMIT_TIMES * usual + 1).select(F.col("p.source").alias("at"), F.col("size").alias(f"{size}_limit"))
-        # Texts of one pattern pile up too; at a limit, most ends are such as complete texts don't have.
-        odd = keyed.dropDuplicates(["source", size, "content"]).groupBy("source", size).agg(F.avg(F.col("usual_end").cast("int")).alias("usual_ends")).where("usual_ends < 0.5").select(F.col("source").alias("in"), F.col(size).alias("with"))
-        return piled.join(odd, F.col("at").eqNullSafe(F.col("in")) & (F.col(f"{size}_limit") == F.col("with")), "left_semi")
-
-    # Longer copies: beginnings that several texts have, with the lengths of the open texts among them.
-    common = ends.where("beginning IS NOT NULL").groupBy("beginning").agg(F.count("*").alias("texts"), F.collect_set(F.when(F.col("whole").isNotNull(), F.col("used"))).alias("lengths")).where("texts > 1 AND size(lengths) > 0").select("beginning", "lengths")
-    placed = ends.where("beginning IS NOT NULL").select("id", "beginning").join(common, "beginning").distinct()
-    longer = placed.join(rows.where("text IS NOT NULL").select("id", "text"), "id").select("beginning", "text", "lengths").mapInArrow(_longer_copies, "beginning bigint, used int, whole bigint, runs boolean")
-    copies = longer.groupBy("beginning", "used", "whole").agg(F.max("runs").alias("runs"))
-
-    char_limits, byte_limits = limits("chars"), limits("bytes")
-    judged = (
-        keyed.withColumn("phrase", phrase)
-        .join(F.broadcast(standing.withColumn("standing", F.lit(True))), "phrase", "left")
-        .join(copies, ["beginning", "used", "whole"], "left")
-        .join(char_limits, F.col("source").eqNullSafe(F.col("at")) & (F.col("chars") == F.col("chars_limit")), "left")
-        .drop("at")
-        .join(byte_limits, F.col("source").eqNullSafe(F.col("at")) & (F.col("bytes") == F.col("bytes_limit")), "left")
-    )
+    standing = marked.groupBy("phrase").count().where((F.col("count") >= STANDING_TEXTS) & (F.col("count") >= share)).select("phrase", F.lit(True).alias("standing"))
+
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(ends.count() / TASK_ROWS))
+    values = ends.where("bare <> ''").select(F.col("bare").alias("value"), F.xxhash64("bare").alias("hash"), F.xxhash64("id").alias("salt"))
+    copies = longer_copies(values, width)
+
+    # Hashes only: one row for each different text that has a longer copy or an open end.
+    # A text in a script without blanks is complete at its stop, though others go on at once.
+    may_go_on = ~F.col("bare").rlike(f"[{sentences.WIDE_STOPS}][{sentences.WIDE_CLOSERS}]*$")
+    of_text = ends.select("content", F.xxhash64("bare").alias("hash"), may_go_on.alias("may_go_on"), "open", "alone", "marked", "phrase").dropDuplicates(["content"])
+    judged = of_text.join(copies, "hash", "left").join(evidence, "content", "left").join(standing, "phrase", "left")
+    # A title of a usual kind is complete, though a sentence somewhere begins with the same words.
+    title = F.col("alone") & F.coalesce("usual_end", F.lit(False))
     why = (
-        F.when(F.col("runs"), "copy")
-        .when(F.col("runs") == F.lit(False), F.lit(None))
-        .when(F.coalesce("standing", F.lit(False)) & F.col("marked"), F.lit(None))
-        .when(F.col("chars_limit").isNotNull() | F.col("bytes_limit").isNotNull(), "limit")
-        .when(F.col("key") == BLOCK, "block")
-        .when(~F.col("first"), "sentence")
-        .when((F.col("key") != "") & F.col("runs_on"), "sentence")
+        F.when(F.when(F.col("open"), F.col("runs") & ~title).otherwise(F.col("direct") & F.col("may_go_on")), "copy")
+        .when(~F.col("open") | F.col("runs").isNotNull(), F.lit(None))
+        .when(F.col("standing") & F.col("marked"), F.lit(None))
+        .when(F.col("runs_on"), "sentence")
     )
-    verdicts = judged.select("id", "source", why.alias("why"), F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("col")
-    rest = ends.where("open = ''").select("id", "source", F.lit(None).cast("string").alias("why"))
-    return verdicts.unionByName(rest).select("id", "source", F.col("why").isNotNull().alias("truncated"), "why")
+    verdicts = judged.select("content", why.alias("why")).where("why IS NOT NULL")
+    return ends.select("id", "source", "content").join(verdicts, "content", "left").select("id", "source", F.col("why").isNotNull().alias("truncated"), "why")
 
 
 def truncation_rates(verdicts: DataFrame) -> DataFrame:
     """(source, texts, truncated, rate): how often each source truncates."""
     return verdicts.groupBy("source").agg(F.count("*").alias("texts"), F.count_if("truncated").alias("truncated")).withColumn("rate", F.col("truncated") / F.col("texts"))
+
+
+def length_limits(df: DataFrame, text_column: str, source_column: str) -> DataFrame:
+    """(source, unit, size, texts, usual): lengths in characters or bytes at which a source's texts pile up.
+
+    ``usual`` is the mean number of texts at the lengths near it.  Such a length hints at a field limit, but
+    complete texts of one pattern pile up too, so it is no verdict on a text.  Copies of a text count once.
+    """
+    text = F.col(text_column).cast("string")
+    units = F.array(F.struct(F.lit("characters").alias("unit"), F.length(text).alias("size")), F.struct(F.lit("bytes").alias("unit"), F.octet_length(text).alias("size")))
+    rows = df.where(text != "").select(F.col(source_column).cast("string").alias("source"), F.xxhash64(text).alias("hash"), F.explode(units).alias("u")).select("source", "hash", "u.*").distinct()
+    per = rows.groupBy("source", "unit", "size").agg(F.count("*").alias("texts")).withColumn("bin", F.expr(f"size div {NEAR}"))
+    bins = per.select("source", "unit", F.explode(F.array(F.col("bin") - 1, F.col("bin"), F.col("bin") + 1)).alias("bin"), "texts").groupBy("source", "unit", "bin").agg(F.sum("texts").alias("around"))
+    spikes = per.where(F.col("texts") >= LIMIT_TEXTS).alias("p").join(bins.alias("b"), F.col("p.source").eqNullSafe(F.col("b.source")) & (F.col("p.unit") == F.col("b.unit")) & (F.col("p.bin") == F.col("b.bin")))
+    usual = (F.col("around") - F.col("texts")) / (3 * NEAR - 1)
+    return spikes.select("p.source", "p.unit", "size", "texts", usual.alias("usual")).where(F.col("texts") >= LIMIT_TIMES * F.col("usual") + 1)
