@@ -81,11 +81,23 @@ def split_packed(values: pa.Array) -> pa.ListArray:
     codes = _codes(data)
     is_in = lambda marks: np.isin(codes, [ord(x) for x in marks])
     blank, separator = is_in(BLANKS), is_in(SEPARATORS)
+    low = codes | 0x20
+    pad = np.concatenate([low, np.zeros(8, np.int32)])
+    tag = np.zeros(len(codes), bool)  # line-break tags
+    i = np.flatnonzero(codes == ord("<"))
+    i = i[(pad[i + 1] == ord("b")) & (pad[i + 2] == ord("r"))]
+    for tail in (">", "/>", " >", " />"):
+        raw = [ord(x) | 0x20 for x in tail]
+        hit = i[np.logical_and.reduce([pad[i + 3 + k] == raw[k] for k in range(len(raw))])] if len(i) else i
+        for k in range(3 + len(tail)):
+            tag[hit + k] = True
     before = np.concatenate([[10], codes[:-1]])
     before[starts] = 10
     after = np.concatenate([codes[1:], [10]])
-    gap_before = np.concatenate([[True], (blank | separator)[:-1]]) | (before == 10)
-    gap_after = np.concatenate([(blank | separator)[1:], [True]])
+    gap = blank | separator | tag
+    # A mark of several bytes is a gap up to its last one.
+    gap_before = np.concatenate([[True], _spread(gap, codes)[:-1]]) | (before == 10)
+    gap_after = np.concatenate([gap[1:], [True]])
 
     escaped = before == _ESCAPE
     quote = (codes == _QUOTE) & ~escaped
@@ -111,8 +123,6 @@ def split_packed(values: pa.Array) -> pa.ListArray:
         if up.any():
             protected |= _depth(up, down, row, starts, None) > 0
 
-    low = codes | 0x20
-    pad = np.concatenate([low, np.zeros(8, np.int32)])
     end = np.append(starts[1:], len(data))[row] - 1  # each row's closing line end
     i = np.flatnonzero((codes == ord("/")) & ((gap_before) | (gap_after)))
     separator[i] = True
@@ -121,13 +131,7 @@ def split_packed(values: pa.Array) -> pa.ListArray:
     i = i[gap_after[i + 2] | np.isin(after[i + 2], [_QUOTE, ord("“")])]
     for k in range(3):
         separator[i + k] = True
-    i = np.flatnonzero(codes == ord("<"))
-    i = i[(pad[i + 1] == ord("b")) & (pad[i + 2] == ord("r"))]
-    for tail in (">", "/>", " >", " />"):
-        raw = [ord(x) | 0x20 for x in tail]
-        hit = i[np.logical_and.reduce([pad[i + 3 + k] == raw[k] for k in range(len(raw))])] if len(i) else i
-        for k in range(3 + len(tail)):
-            separator[hit + k] = True
+    separator |= tag
     separator &= ~protected
     separator[end[starts]] = True  # the line end after each row, whatever its quotes
     separator = _spread(separator, codes)

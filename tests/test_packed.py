@@ -21,6 +21,8 @@ CASES = {
     "users' tool; it's": ["users' tool", "it's"],
     '5" disk, foo': ['5" disk', "foo"],
     "(a, b": ["(a", "b"],
+    "“A and B; C”；'A and B; C'、'D, E'": ["A and B; C", "A and B; C", "D, E"],
+    "a<br/>'B, C'<br>d's": ["a", "B, C", "d's"],
     "Sand and brand and x": ["Sand", "brand", "x"],
     "and": [],
     " , ; ": [],
