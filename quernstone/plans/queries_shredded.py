@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from quernstone.operators.nested_records import element_table, shred_records
+from pyspark.sql import functions as F
+
+from quernstone.operators.nested_records import KINDS, element_table, shred_records, unreadable_records
 from quernstone.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -11,31 +13,32 @@ _SQL = r"""
     ), plain AS (
         SELECT record_id, CASE WHEN json_type(j) = 'VARCHAR' THEN TRY_CAST(ltrim(j ->> '$', chr(65279)) AS JSON) ELSE j END AS j FROM once
     ), single AS (
-        SELECT record_id, CASE WHEN json_type(j) = 'ARRAY' THEN j -> 0 ELSE j END AS j FROM plain
+        SELECT record_id, 0 AS record_pos, j FROM plain WHERE json_type(j) <> 'ARRAY'
+        UNION ALL SELECT record_id, p - 1, j -> (p - 1) FROM (SELECT record_id, j, unnest(range(1, 1 + json_array_length(j)::BIGINT)) AS p FROM plain WHERE json_type(j) = 'ARRAY')
     ), bare AS (
-        SELECT record_id, CASE WHEN json_type(j) <> 'OBJECT' THEN NULL WHEN json_exists(j, '$.containers') THEN j ELSE coalesce(j -> 'data', j -> 'record') END AS j FROM single
+        SELECT record_id, record_pos, CASE WHEN json_type(j) <> 'OBJECT' THEN NULL WHEN json_exists(j, '$.containers') THEN j ELSE coalesce(j -> 'data', j -> 'record') END AS j FROM single
     ), boxes AS (
-        SELECT record_id, 'cna' AS container, 0 AS container_pos, j -> 'containers' -> 'cna' AS c FROM bare
-        UNION ALL SELECT record_id, 'adp', 0, j -> 'containers' -> 'adp' FROM bare WHERE json_type(j -> 'containers' -> 'adp') = 'OBJECT'
-        UNION ALL SELECT record_id, 'adp', p - 1, a -> (p - 1) FROM (
-            SELECT record_id, a, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM (
-                SELECT record_id, j -> 'containers' -> 'adp' AS a FROM bare WHERE json_type(j -> 'containers' -> 'adp') = 'ARRAY'))
+        SELECT record_id, record_pos, 'cna' AS container, 0 AS container_pos, j -> 'containers' -> 'cna' AS c FROM bare
+        UNION ALL SELECT record_id, record_pos, 'adp', 0, j -> 'containers' -> 'adp' FROM bare WHERE json_type(j -> 'containers' -> 'adp') = 'OBJECT'
+        UNION ALL SELECT record_id, record_pos, 'adp', p - 1, a -> (p - 1) FROM (
+            SELECT record_id, record_pos, a, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM (
+                SELECT record_id, record_pos, j -> 'containers' -> 'adp' AS a FROM bare WHERE json_type(j -> 'containers' -> 'adp') = 'ARRAY'))
     ), kinds AS (SELECT * FROM (VALUES ('description', 'descriptions'), ('affected', 'affected'), ('reference', 'references'), ('metric', 'metrics'), ('types', 'problemTypes')) v(kind, name)
     ), lists AS (
-        SELECT record_id, container, container_pos, kind, json_extract(c, name) AS a FROM boxes CROSS JOIN kinds WHERE json_type(c) = 'OBJECT'
+        SELECT record_id, record_pos, container, container_pos, kind, json_extract(c, name) AS a FROM boxes CROSS JOIN kinds WHERE json_type(c) = 'OBJECT'
     ), items AS (
-        SELECT record_id, container, container_pos, kind, p - 1 AS item_pos, a -> (p - 1) AS e FROM (
+        SELECT record_id, record_pos, container, container_pos, kind, p - 1 AS item_pos, a -> (p - 1) AS e FROM (
             SELECT *, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM lists WHERE json_type(a) = 'ARRAY')
     ), subs AS (
-        SELECT record_id, container, container_pos, kind, item_pos, p - 1 AS sub_pos, a -> (p - 1) AS e FROM (
+        SELECT record_id, record_pos, container, container_pos, kind, item_pos, p - 1 AS sub_pos, a -> (p - 1) AS e FROM (
             SELECT *, unnest(range(1, 1 + json_array_length(a)::BIGINT)) AS p FROM (
-                SELECT record_id, container, container_pos, 'version' AS kind, item_pos, e -> 'versions' AS a FROM items WHERE kind = 'affected'
-                UNION ALL SELECT record_id, container, container_pos, 'problem', item_pos, e -> 'descriptions' FROM items WHERE kind = 'types')
+                SELECT record_id, record_pos, container, container_pos, 'version' AS kind, item_pos, e -> 'versions' AS a FROM items WHERE kind = 'affected'
+                UNION ALL SELECT record_id, record_pos, container, container_pos, 'problem', item_pos, e -> 'descriptions' FROM items WHERE kind = 'types')
             WHERE json_type(a) = 'ARRAY')
     ), found AS (
-        SELECT record_id, container, container_pos, kind, item_pos, -1 AS sub_pos FROM items WHERE kind <> 'types' AND json_type(e) <> 'NULL'
-        UNION ALL SELECT record_id, container, container_pos, kind, item_pos, sub_pos FROM subs WHERE json_type(e) <> 'NULL'
-        UNION ALL SELECT record_id, container, container_pos, 'title', -1, -1 FROM boxes WHERE json_type(c -> 'title') = 'VARCHAR' AND trim(c ->> 'title') <> ''
+        SELECT record_id, record_pos, container, container_pos, kind, item_pos, -1 AS sub_pos FROM items WHERE kind <> 'types' AND json_type(e) <> 'NULL'
+        UNION ALL SELECT record_id, record_pos, container, container_pos, kind, item_pos, sub_pos FROM subs WHERE json_type(e) <> 'NULL'
+        UNION ALL SELECT record_id, record_pos, container, container_pos, 'title', -1, -1 FROM boxes WHERE json_type(c -> 'title') = 'VARCHAR' AND trim(c ->> 'title') <> ''
     )
 """
 
@@ -43,10 +46,51 @@ _SQL = r"""
 @REGISTRY.add("p6_found", _SQL + "SELECT record_id, container, container_pos::INT AS container_pos, kind, item_pos::INT AS item_pos, sub_pos::INT AS sub_pos FROM found")
 def p6_found(spark, folder):
     """Every element of every readable payload, by its place."""
-    return shred_records(table(spark, folder, "cve_records")).drop("cve_id", "attributes")
+    return shred_records(table(spark, folder, "cve_records")).where(F.col("kind").isin(KINDS)).drop("record_pos", "cve_id", "attributes")
 
 
-@REGISTRY.add("p6_versions")
+@REGISTRY.add(
+    "p6_versions",
+    _SQL
+    + """SELECT s.record_id, s.record_pos::INT AS record_pos, j -> 'cveMetadata' ->> 'cveId' AS cve_id, container, container_pos::INT AS container_pos, item_pos::INT AS item_pos, sub_pos::INT AS sub_pos,
+        e ->> 'version' AS version, e ->> 'status' AS status, e ->> 'lessThan' AS "lessThan", e ->> 'lessThanOrEqual' AS "lessThanOrEqual", e ->> 'versionType' AS "versionType"
+    FROM subs s JOIN bare USING (record_id, record_pos) WHERE kind = 'version' AND json_type(e) <> 'NULL'""",
+)
 def p6_versions(spark, folder):
     """The flat table of affected versions, each with record, container and parent element."""
     return element_table(shred_records(table(spark, folder, "cve_records")), "version")
+
+
+@REGISTRY.add(
+    "p6_metrics",
+    _SQL
+    + """SELECT i.record_id, i.record_pos::INT AS record_pos, j -> 'cveMetadata' ->> 'cveId' AS cve_id, container, container_pos::INT AS container_pos, item_pos::INT AS item_pos, -1 AS sub_pos,
+        e -> 'cvssV3_1' ->> 'baseSeverity' AS "cvssV3_1_baseSeverity", e -> 'other' -> 'content' ->> 'id' AS other_content_id
+    FROM items i JOIN bare USING (record_id, record_pos) WHERE kind = 'metric' AND json_type(e) <> 'NULL'""",
+)
+def p6_metrics(spark, folder):
+    """The flat table of metrics with leaves that lie deeper in them."""
+    return element_table(shred_records(table(spark, folder, "cve_records")), "metric", ["cvssV3_1.baseSeverity", "other.content.id"])
+
+
+@REGISTRY.add(
+    "p6_records",
+    _SQL
+    + """SELECT record_id, record_pos::INT AS record_pos, j -> 'cveMetadata' ->> 'cveId' AS cve_id, 'record' AS container, 0 AS container_pos, -1 AS item_pos, -1 AS sub_pos,
+        j -> 'cveMetadata' ->> 'state' AS "cveMetadata_state", j -> 'cveMetadata' ->> 'datePublished' AS "cveMetadata_datePublished", j ->> 'dataVersion' AS "dataVersion"
+    FROM bare WHERE j IS NOT NULL AND (json_exists(j, '$.containers') OR json_exists(j, '$.cveMetadata'))""",
+)
+def p6_records(spark, folder):
+    """The root table: one row per record with its own fields."""
+    return element_table(shred_records(table(spark, folder, "cve_records")), "record", ["cveMetadata.state", "cveMetadata.datePublished", "dataVersion"])
+
+
+@REGISTRY.add(
+    "p6_unreadable",
+    r"""SELECT record_id, CASE WHEN payload IS NULL THEN 'null' WHEN ltrim(trim(payload), chr(65279)) = '' THEN 'blank'
+        WHEN TRY_CAST(ltrim(trim(payload), chr(65279)) AS JSON) IS NULL THEN 'no JSON' ELSE 'no record' END AS reason
+    FROM cve_records WHERE payload IS NULL OR NOT coalesce(contains(TRY_CAST(ltrim(trim(payload), chr(65279)) AS JSON)::VARCHAR, 'containers'), false)""",
+)
+def p6_unreadable(spark, folder):
+    """Payloads without a record, with the reason."""
+    return unreadable_records(table(spark, folder, "cve_records"))

@@ -2,7 +2,9 @@ import json
 import random
 
 from quernstone.functions.shredding import Column, rebuild
-from quernstone.operators.nested_records import element_table, read_record, shred_records
+from pyspark.sql import functions as F
+
+from quernstone.operators.nested_records import KINDS, element_table, read_records, shred_records, unreadable_records
 
 
 def test_levels_round_trip():
@@ -37,7 +39,7 @@ RECORD = {
 
 
 def rows(df):
-    return sorted(tuple(r)[:1] + tuple(r)[2:7] for r in df.collect())
+    return sorted(tuple(r) for r in df.where(F.col("kind").isin(KINDS)).select("record_id", "container", "container_pos", "kind", "item_pos", "sub_pos").collect())
 
 
 def test_positions_and_wrappings(spark):
@@ -56,5 +58,32 @@ def test_lone_adp_object(spark):
     assert rows(shred_records(df)) == [(1, "adp", 0, "title", -1, -1)]
 
 
-def test_unreadable():
-    assert read_record('{"a": 1}') is None and read_record(None) is None and read_record('"x"') is None
+def test_unreadable(spark):
+    payloads = [None, "", " \n", "<html>", '{"a": ', "null", '"x"', '{"a": 1}', "[]", json.dumps(RECORD), "[" * 5000]
+    df = spark.createDataFrame(list(enumerate(payloads)), "record_id bigint, payload string")
+    got = {r.record_id: r.reason for r in unreadable_records(df).collect()}
+    assert got == {0: "null", 1: "blank", 2: "blank", 3: "no JSON", 4: "no JSON", 5: "no record", 6: "no record", 7: "no record", 8: "no record", 10: "no JSON"}
+    assert read_records(json.dumps(RECORD)) == ([RECORD], None)
+
+
+def test_several_records_in_a_payload(spark):
+    other = {"cveMetadata": {"cveId": "CVE-2026-2"}, "containers": {"cna": {"title": "U"}}}
+    payloads = [json.dumps([RECORD, None, other]), json.dumps({"one": other, "two": json.dumps(RECORD), "n": 3})]
+    df = spark.createDataFrame(list(enumerate(payloads)), "record_id bigint, payload string")
+    titles = element_table(shred_records(df), "title").collect()
+    assert sorted((r.record_id, r.record_pos, r.cve_id, r.title) for r in titles) == [(0, 0, "CVE-2026-1", "T"), (0, 1, "CVE-2026-2", "U"), (1, 0, "CVE-2026-2", "U"), (1, 1, "CVE-2026-1", "T")]
+
+
+def test_no_leaf_is_lost(spark):
+    record = {
+        "dataVersion": "5.1", "cveMetadata": {"cveId": "C", "state": "REJECTED"}, "extra": [1, 2],
+        "containers": {"cna": {"providerMetadata": {"orgId": "o", "deep": {"er": 1.5}}, "rejectedReasons": [{"lang": "en", "value": "no"}, None, "bare"], "source": {}, "metrics": [{"cvssV3_1": {"baseScore": 9.8}, "scenarios": [{"lang": "en"}]}], "references": [{"url": "u", "tags": ["a", "b"]}], "title": "t"}},
+    }
+    df = spark.createDataFrame([(1, json.dumps(record))], "record_id bigint, payload string")
+    got = {(r.kind, r.item_pos): dict(r.attributes) for r in shred_records(df).collect()}
+    assert got == {
+        ("record", -1): {"dataVersion": "5.1", "cveMetadata.cveId": "C", "cveMetadata.state": "REJECTED", "extra": "[1, 2]"},
+        ("container", -1): {"providerMetadata.orgId": "o", "providerMetadata.deep.er": "1.5", "source": "{}"},
+        ("rejectedReasons", 0): {"lang": "en", "value": "no"}, ("rejectedReasons", 2): {"rejectedReasons": "bare"},
+        ("metric", 0): {"cvssV3_1.baseScore": "9.8", "scenarios": '[{"lang": "en"}]'}, ("reference", 0): {"url": "u", "tags": '["a", "b"]'}, ("title", -1): {"title": "t"},
+    }
