@@ -19,9 +19,9 @@ def latest_by(df: DataFrame, keys: list[str], order: list[Column] | str) -> Data
 
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The row with the least order for each key, whole."""
+    """The row with the least order for each key, whole; equal ones are told apart by the hash of their values."""
     rest = [c for c in df.columns if c not in keys]
-    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_row")).select(*keys, "_row.*").select(*df.columns)
+    return df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order, F.xxhash64(F.to_json(F.struct(*rest))))).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
 def upsert(fresh: DataFrame, old: DataFrame, keys: list[str]) -> DataFrame:

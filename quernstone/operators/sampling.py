@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import random
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quernstone.operators.identity import ranked
+
 #: A family with less than this share of its tier is pooled.
 POOLED = 0.02
 
@@ -38,15 +38,16 @@ def allocate(strata: DataFrame, total: int) -> DataFrame:
 def systematic(rows: DataFrame, quotas: DataFrame, order: list[str], seed: int) -> DataFrame:
     """In each stratum every size/quota-th row in order, from a start that the seed and the stratum fix.
 
-    Ranks within strata come from a window over the stratum; the draw itself is a join on rank.
+    The start is a share of the step, from the MD5 of seed and stratum.  Rows are ranked over all strata by
+    ranges, so that no task sorts a whole stratum, and a stratum's first rank is taken off.  A row's stratum
+    and order must be distinct and not null.
     """
-    few = quotas.where("quota > 0").collect()  # a row per stratum
-    starts = [(q["stratum"], int(q["size"]), int(q["quota"]), random.Random(f"{seed}|{q['stratum']}").random()) for q in few]
-    table = rows.sparkSession.createDataFrame(starts, "stratum string, _size bigint, _quota bigint, _start double")
-    step = F.col("_size") / F.col("_quota")
-    picks = table.select("stratum", F.explode(F.transform(F.sequence(F.lit(0), F.col("_quota") - 1), lambda i: F.floor((F.col("_start") + i) * step))).alias("_rank"))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("stratum").orderBy(*order)).cast("bigint") - 1)
-    return ranked.join(F.broadcast(picks), ["stratum", "_rank"]).drop("_rank")
+    start = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}|"), F.col("stratum"))), 1, 12), 16, 10).cast("double") / float(1 << 48)
+    step = F.col("size") / F.col("quota")
+    picks = quotas.where("quota > 0").select("stratum", F.explode(F.transform(F.sequence(F.lit(0), F.col("quota") - 1), lambda i: F.floor((start + i) * step))).alias("_place"))
+    placed = ranked(rows.withColumn("_key", F.struct("stratum", *order)), "_key")
+    firsts = placed.groupBy("stratum").agg(F.min("rank").alias("_first"))
+    return placed.join(picks.join(firsts, "stratum").select((F.col("_first") + F.col("_place")).alias("rank")), "rank").drop("rank", "_key")
 
 
 def rotating(df: DataFrame, value: str, cursor: int | None, k: int) -> DataFrame:

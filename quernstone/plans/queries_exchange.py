@@ -31,7 +31,8 @@ def graph_edges(spark, folder):
     return graphs.edges(pairs, "exploits", ("incident", F.col("id")), ("vulnerability", F.col("c"))).groupBy("relation").agg(F.count("*").alias("n"))
 
 
-@REGISTRY.add("name_based_ids")
+@REGISTRY.add("name_based_ids", """WITH h AS (SELECT package, sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode(package)) AS d FROM products)
+    SELECT package, substr(d, 1, 8) || '-' || substr(d, 9, 4) || '-5' || substr(d, 14, 3) || '-' || lower(format('{:02x}', ((('0x' || substr(d, 17, 2))::INT & 63) | 128))) || substr(d, 19, 2) || '-' || substr(d, 21, 12) AS uuid FROM h""")
 def name_based_ids(spark, folder):
     """Version 5 UUIDs of products, computed without Python."""
     return table(spark, folder, "products").select("package", graphs.uuid5(F.col("package")).alias("uuid"))
@@ -83,7 +84,9 @@ def stream_hourly_counts(spark, folder):
     return _drained(counts, "complete").select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour"), "event_type", "n")
 
 
-@REGISTRY.add("stream_source_health")
+@REGISTRY.add("stream_source_health", """WITH e AS (SELECT user_id, ts, event_type FROM events), s AS (SELECT user_id, max(ts) AS last FROM e WHERE event_type = 'view' GROUP BY user_id),
+    f AS (SELECT e.user_id, count(*) FILTER (event_type = 'error' AND (last IS NULL OR ts > last)) AS failures FROM e LEFT JOIN s USING (user_id) GROUP BY e.user_id)
+    SELECT user_id, failures, CASE WHEN failures >= 3 THEN 'stale' WHEN failures > 0 THEN 'degraded' ELSE 'ok' END AS status FROM f""")
 def stream_source_health(spark, folder):
     """Each source's status after its runs, kept up by a stateful stream."""
     events = _stream(spark, folder, "events")
@@ -91,7 +94,9 @@ def stream_source_health(spark, folder):
     return _drained(stateful.health_stream(events.select("user_id", "ts", kind.alias("outcome")), "user_id", "outcome", "ts"), "update")
 
 
-@REGISTRY.add("stream_changes")
+@REGISTRY.add("stream_changes", r"""WITH r AS (SELECT id, received_at::VARCHAR AS day, md5(concat_ws(chr(31), coalesce(status, chr(1)), coalesce(severity, chr(1)))) AS content, received_at FROM incident_snapshots),
+    l AS (SELECT *, lag(content) OVER w AS before, row_number() OVER w AS n, first_value(day) OVER w AS added FROM r WINDOW w AS (PARTITION BY id ORDER BY received_at, content))
+    SELECT id, added, day AS updated, CASE WHEN n = 1 THEN 'added' ELSE 'changed' END AS change FROM l WHERE n = 1 OR content <> before""")
 def stream_changes(spark, folder):
     """New and changed records as deliveries come in."""
     rows = _stream(spark, folder, "incident_snapshots")

@@ -207,12 +207,23 @@ def affected_packages(spark, folder):
     return table(spark, folder, "products").select("package", built.alias("built")).where("built IS NOT NULL")
 
 
-@REGISTRY.add("first_two_sentences", "SELECT doc_id, regexp_replace(substr(text, 1, 400), '\\s+', ' ', 'g') AS head, length(text) - length(replace(text, '{', '')) AS braces FROM documents")
-def first_two_sentences(spark, folder):
+@REGISTRY.add("text_heads", "SELECT doc_id, regexp_replace(substr(text, 1, 400), '\\s+', ' ', 'g') AS head, length(text) - length(replace(text, '{', '')) AS braces FROM documents")
+def text_heads(spark, folder):
     """Heads of texts in one line, and how often a suspicious mark stands in them."""
     return table(spark, folder, "documents").select("doc_id", F.regexp_replace(F.substring("text", 1, 400), r"\s+", " ").alias("head"), F.regexp_count("text", F.lit(r"\{")).cast("bigint").alias("braces"))
 
 
+@REGISTRY.add(
+    "first_sentences",
+    r"""WITH p AS (SELECT doc_id, string_split(regexp_replace(text, '([.!?])\s+', '\1' || chr(2), 'g'), chr(2)) AS parts FROM documents WHERE text IS NOT NULL),
+    u AS (SELECT doc_id, unnest(parts) AS s, unnest(range(len(parts))) AS k FROM p), c AS (SELECT *, sum(length(s) + 1) OVER (PARTITION BY doc_id ORDER BY k) - 1 AS total FROM u)
+    SELECT d.doc_id, f.lead FROM documents d LEFT JOIN (SELECT doc_id, string_agg(s, ' ' ORDER BY k) AS lead FROM c WHERE k = 0 OR total <= 300 GROUP BY doc_id) f USING (doc_id)""",
+)
+def first_sentences(spark, folder):
+    """Whole sentences from the start of each text, up to 300 characters."""
+    return table(spark, folder, "documents").select("doc_id", text.first_sentences(F.col("text")).alias("lead"))
+
+
 @REGISTRY.add("csv_cells", f"""WITH {INC} SELECT id, CASE WHEN regexp_matches(coalesce(affected, ''), '[",\\r\\n]') THEN '"' || replace(coalesce(affected, ''), '"', '""') || '"' ELSE coalesce(affected, '') END AS affected, coalesce(array_to_string(tags, '; '), '') AS tags FROM inc""")
 def csv_cells(spark, folder):
     """Cells of a CSV export, quoted where needed."""

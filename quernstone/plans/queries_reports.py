@@ -142,9 +142,15 @@ def stratum_quotas(spark, folder):
     return sampling.allocate(_strata(spark, folder).groupBy("stratum").agg(F.count("*").alias("size")), 150)
 
 
-@REGISTRY.add("systematic_sample")
+@REGISTRY.add(
+    "systematic_sample",
+    f"""WITH {INC}, {_STRATA}, e AS (SELECT *, 150 * size / sum(size) OVER () AS exact FROM z), r AS (SELECT *, row_number() OVER (ORDER BY round(exact - floor(exact), 9) DESC, size DESC, stratum) AS rank, 150 - sum(floor(exact)) OVER () AS spare FROM e), q AS (SELECT stratum, size, (floor(exact) + CASE WHEN rank <= spare THEN 1 ELSE 0 END)::BIGINT AS quota FROM r),
+    picks AS (SELECT stratum, floor((('0x' || substr(md5('20261011|' || stratum), 1, 12))::BIGINT / 281474976710656.0 + i) * (size / quota))::BIGINT AS place FROM (SELECT *, unnest(range(quota)) AS i FROM q WHERE quota > 0)),
+    placed AS (SELECT id, stratum, row_number() OVER (PARTITION BY stratum ORDER BY id) - 1 AS place FROM k)
+    SELECT id, stratum FROM placed JOIN picks USING (stratum, place)""",
+)
 def systematic_sample(spark, folder):
-    """The stratified systematic sample itself; its seeded starts come from Python's generator."""
+    """The stratified systematic sample itself."""
     rows = _strata(spark, folder).select("id", "stratum")
     return sampling.systematic(rows, sampling.allocate(rows.groupBy("stratum").agg(F.count("*").alias("size")), 150), ["id"], 20_261_011)
 
@@ -416,7 +422,9 @@ def ranked_rows(spark, folder):
     return identity.ranked(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
 
 
-@REGISTRY.add("content_digest")
+@REGISTRY.add("content_digest", """WITH h AS (SELECT md5('{"o_orderkey":' || o_orderkey || ',"o_custkey":' || o_custkey || ',"o_orderstatus":"' || o_orderstatus || '"}') AS m FROM orders),
+    p AS (SELECT ('0x' || substr(m, 1, 12))::BIGINT AS d, ('0x' || substr(m, 13, 12))::BIGINT AS h FROM h)
+    SELECT count(*) AS rows, sha256(count(*) || '/' || bit_xor(h) || '/' || sum(d::HUGEINT)) AS digest FROM p""")
 def content_digest(spark, folder):
     """An order-free fingerprint of a table."""
-    return aggregates.digest(table(spark, folder, "nation"), ["n_nationkey", "n_name", "n_regionkey"])
+    return aggregates.digest(table(spark, folder, "orders"), ["o_orderkey", "o_custkey", "o_orderstatus"])

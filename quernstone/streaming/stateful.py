@@ -26,12 +26,15 @@ def first_seen(events: DataFrame, keys: list[str], time: str, lateness: str) ->
 
 
 def detect_changes(rows: DataFrame, key: str, content: list[str], day: str) -> DataFrame:
-    """(key, added, updated, change): one row whenever a key is new or its content differs from the last seen."""
+    """(key, added, updated, change): one row whenever a key is new or its content differs from the last seen.
+
+    Rows of a batch are taken by day, equal ones by content hash, so that a rerun gives the same.
+    """
 
     def step(keys: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         last, added, updated = state.get if state.exists else (None, None, None)
         out = []
-        seen = pd.concat(list(batches)).sort_values("day", kind="stable")
+        seen = pd.concat(list(batches)).sort_values(["day", "content"])
         for content_hash, on in zip(seen["content"], seen["day"]):
             if content_hash != last:
                 change = "added" if last is None else "changed"
@@ -40,7 +43,7 @@ def detect_changes(rows: DataFrame, key: str, content: list[str], day: str) -> D
         state.update((last, added, updated))
         yield pd.DataFrame(out, columns=[key, "added", "updated", "change"])
 
-    slim = rows.select(key, F.xxhash64(F.to_json(F.struct(*content))).cast("string").alias("content"), F.col(day).cast("string").alias("day"))
+    slim = rows.select(key, F.md5(F.concat_ws("\x1f", *(F.coalesce(F.col(c).cast("string"), F.lit("\x01")) for c in content))).alias("content"), F.col(day).cast("string").alias("day"))
     kind = rows.schema[key].dataType.simpleString()
     return slim.groupBy(key).applyInPandasWithState(step, f"{key} {kind}, added string, updated string, change string", "hash string, added string, updated string", "append", GroupStateTimeout.NoTimeout)
 
@@ -48,19 +51,27 @@ def detect_changes(rows: DataFrame, key: str, content: list[str], day: str) -> D
 def grow_only_upsert(keys: list[str], path: str) -> Callable[[DataFrame, int], None]:
     """A sink for foreachBatch: fresh rows replace stored ones with the same keys, others stay.
 
-    Each batch writes a new version beside the old one, so a failed batch leaves the last version whole.
+    Each batch writes a new version beside the old one, so a failed batch leaves the last version whole.  A
+    batch builds on the latest version before its own number, whatever that is; a version that is there but
+    can't be read is an error, never an empty table.  Of several rows of a batch with the same keys the one
+    with the least hash of all its values stays.
     """
     from quernstone.operators.latest import upsert
 
+    def versions(spark) -> list[int]:
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in system.listStatus(folder)] if system.exists(folder) else []
+        done = [n for n in names if n.startswith("version=") and system.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/{n}/_SUCCESS"))]
+        return sorted(int(n.removeprefix("version=")) for n in done)
+
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        stored = None
-        if number > 0:
-            try:
-                stored = spark.read.parquet(f"{path}/version={number - 1}")
-            except Exception:  # the first batch of this sink may have any number
-                stored = None
-        rows = batch.dropDuplicates(keys)
+        before = [v for v in versions(spark) if v < number]
+        stored = spark.read.parquet(f"{path}/version={before[-1]}") if before else None
+        every = F.struct(*batch.columns)
+        rows = batch.groupBy(*(F.col(k).alias(f"_{k}") for k in keys)).agg(F.min_by(every, F.xxhash64(*batch.columns)).alias("_row")).select("_row.*")
         (upsert(rows, stored, keys) if stored is not None else rows).write.mode("overwrite").parquet(f"{path}/version={number}")
 
     return write
