@@ -42,3 +42,48 @@ def attributes(df: DataFrame, group: str, parts: dict[str, Column]) -> DataFrame
             one = one.select(group, "kind", F.explode("value").alias("value"))
         each = one if each is None else each.unionByName(one)
     return each.where("value IS NOT NULL AND value <> ''").distinct().withColumn("value_md5", F.md5("value"))
+
+
+#: Fields of every exchange object.
+SPECIFICATION = "2.1"
+
+
+def stix_objects(records: DataFrame, version: int, namespace: str = NAMESPACE) -> DataFrame:
+    """(object_id, type, created, modified, name, body): STIX objects of records, one row each; ``body`` is its JSON.
+
+    ``records`` has id, title, added, updated, severity, tags, cve_ids and references (url), one row per id.
+    Each record is an x-incident, each different CVE a vulnerability, each record's use of one a relationship.
+    Relationships carry their record's instants; a vulnerability's are fixed, as it stands for no record.
+    ``version`` is that of the exporter (see ``adapters.stamped``).
+    """
+    from quernstone.sources.adapters import stamped
+
+    key = lambda kind, name: F.concat(F.lit(f"{kind}--"), uuid5(F.concat(F.lit(f"{kind}:"), name), namespace))
+    created, modified = stamped(F.col("added"), F.coalesce("updated", "added"), version)
+    rows = records.where("id IS NOT NULL").select("*", created.alias("created"), modified.alias("modified"))
+    common = lambda kind: [F.lit(kind).alias("type"), F.lit(SPECIFICATION).alias("spec_version"), F.col("object_id").alias("id"), "created", "modified"]
+    links = F.transform(F.filter(F.coalesce("references.url", F.array().cast("array<string>")), lambda u: F.length(F.trim(u)) > 0), lambda u: F.struct(F.lit("reference").alias("source_name"), u.alias("url")))
+    incidents = rows.withColumn("object_id", key("x-incident", F.col("id"))).withColumn("links", links)
+    body = F.to_json(F.struct(*common("x-incident"), F.col("title").alias("name"), F.col("id").alias("x_record_id"), F.col("severity").alias("x_severity"), F.col("tags").alias("labels"), F.when(F.size("links") > 0, F.col("links")).alias("external_references")))
+    out = incidents.select("object_id", F.lit("x-incident").alias("type"), "created", "modified", F.col("title").alias("name"), body.alias("body"))
+    pairs = rows.select("id", "created", "modified", F.explode(F.array_distinct(F.array_compact("cve_ids"))).alias("cve"))
+    since = F.lit("1970-01-01T00:00:00.000Z").alias("created"), F.lit(f"1970-01-01T00:00:00.{version:03}Z").alias("modified")
+    flaws = pairs.select("cve").distinct().select(key("vulnerability", F.col("cve")).alias("object_id"), *since, "cve")
+    body = F.to_json(F.struct(*common("vulnerability"), F.col("cve").alias("name"), F.array(F.struct(F.lit("cve").alias("source_name"), F.col("cve").alias("external_id"))).alias("external_references")))
+    out = out.unionByName(flaws.select("object_id", F.lit("vulnerability").alias("type"), "created", "modified", F.col("cve").alias("name"), body.alias("body")))
+    ends = pairs.select(key("x-incident", F.col("id")).alias("source_ref"), key("vulnerability", F.col("cve")).alias("target_ref"), "created", "modified")
+    ties = ends.withColumn("object_id", key("relationship", F.concat_ws("|", F.lit("exploits"), "source_ref", "target_ref")))
+    body = F.to_json(F.struct(*common("relationship"), F.lit("exploits").alias("relationship_type"), "source_ref", "target_ref"))
+    return out.unionByName(ties.select("object_id", F.lit("relationship").alias("type"), "created", "modified", F.lit("exploits").alias("name"), body.alias("body")))
+
+
+def feed_events(attributes_of: DataFrame, group: str, namespace: str = NAMESPACE) -> DataFrame:
+    """(group, uuid, info, attribute_count, digest): the header of each group's feed event.
+
+    ``attributes_of`` comes from ``attributes``; the digest is free of order, so that it changes with the
+    event's content only.  The attributes stay rows beside it: a year's may be more than one task can hold.
+    """
+    part = F.conv(F.substring("value_md5", 1, 12), 16, 10).cast("decimal(20,0)")
+    sums = attributes_of.groupBy(group).agg(F.count("*").alias("attribute_count"), F.sum(part).alias("s"))
+    name = F.coalesce(F.col(group).cast("string"), F.lit(""))
+    return sums.select(group, uuid5(F.concat(F.lit("event:"), name), namespace).alias("uuid"), F.concat(F.lit("Incidents of "), F.nullif(name, F.lit(""))).alias("info"), "attribute_count", F.md5(F.col("s").cast("string")).alias("digest"))

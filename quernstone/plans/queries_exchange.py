@@ -44,6 +44,41 @@ def feed_attributes(spark, folder):
     return graphs.attributes(incidents(spark, folder, "id", "year", "cve_ids", "references"), "year", {"cve": F.col("cve_ids"), "url": F.col("references.url")}).withColumn("year", F.coalesce(F.col("year").cast("string"), F.lit("")))
 
 
+_UUID5 = """substr({d}, 1, 8) || '-' || substr({d}, 9, 4) || '-5' || substr({d}, 14, 3) || '-' || lower(format('{{:02x}}', ((('0x' || substr({d}, 17, 2))::INT & 63) | 128))) || substr({d}, 19, 2) || '-' || substr({d}, 21, 12)"""
+
+
+def _uuid5(name: str) -> str:
+    return "(" + _UUID5.format(d=f"sha1(unhex('{graphs.NAMESPACE}') || encode({name}))") + ")"
+
+
+def _instant(column: str, time: str) -> str:
+    return f"CASE WHEN regexp_full_match(trim({column}), '[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}') THEN trim({column}) || '{time}' WHEN regexp_full_match(trim({column}), '[0-9]{{4}}-[0-9]{{2}}') THEN trim({column}) || '-01{time}' WHEN regexp_full_match(trim({column}), '[0-9]{{4}}') THEN trim({column}) || '-01-01{time}' END"
+
+
+@REGISTRY.add(
+    "stix_objects",
+    f"""WITH {INC}, r AS (
+        SELECT id, title, cve_ids, coalesce({_instant('added', 'T00:00:00.000Z')}, '1970-01-01T00:00:00.000Z') AS created, {_instant('coalesce(updated, added)', 'T00:00:00.003Z')} AS m FROM inc
+    ), t AS (SELECT *, greatest(created, coalesce(m, created)) AS modified, 'x-incident--' || {_uuid5("'x-incident:' || id")} AS oid FROM r
+    ), p AS (SELECT DISTINCT id, oid, created, modified, c FROM (SELECT *, unnest(cve_ids) AS c FROM t) WHERE c IS NOT NULL
+    ), v AS (SELECT DISTINCT c, 'vulnerability--' || {_uuid5("'vulnerability:' || c")} AS vid FROM p)
+    SELECT oid AS object_id, 'x-incident' AS type, created, modified, title AS name FROM t
+    UNION ALL SELECT vid, 'vulnerability', '1970-01-01T00:00:00.000Z', '1970-01-01T00:00:00.003Z', c FROM v
+    UNION ALL SELECT 'relationship--' || {_uuid5("'relationship:exploits|' || oid || '|' || vid")}, 'relationship', created, modified, 'exploits' FROM p JOIN v USING (c)""",
+)
+def stix_objects(spark, folder):
+    """Every STIX object of the records, without its body."""
+    inc = incidents(spark, folder, "id", "title", "added", "updated", "severity", "tags", "cve_ids", "references")
+    return graphs.stix_objects(inc, 3).drop("body")
+
+
+@REGISTRY.add("feed_events", f"WITH {INC}, a AS (SELECT DISTINCT year, 'cve' AS kind, c AS value FROM (SELECT year, unnest(cve_ids) AS c FROM inc) WHERE c IS NOT NULL AND c <> '' UNION ALL SELECT DISTINCT year, 'url', u FROM (SELECT year, unnest(\"references\").url AS u FROM inc) WHERE u IS NOT NULL AND u <> '') SELECT year, " + _uuid5("'event:' || coalesce(year::VARCHAR, '')") + " AS uuid, 'Incidents of ' || year AS info, count(*) AS attribute_count, md5(sum(('0x' || substr(md5(value), 1, 12))::HUGEINT)::VARCHAR) AS digest FROM a GROUP BY year")
+def feed_events(spark, folder):
+    """The headers of each year's feed event."""
+    inc = incidents(spark, folder, "id", "year", "cve_ids", "references")
+    return graphs.feed_events(graphs.attributes(inc, "year", {"cve": F.col("cve_ids"), "url": F.col("references.url")}), "year")
+
+
 @REGISTRY.add("live_identifiers", f"WITH {INC}, p AS (SELECT DISTINCT id, status, unnest(cve_ids) AS c FROM inc), l AS (SELECT id, string_agg(c, ' ' ORDER BY c) AS live FROM p WHERE c IS NOT NULL AND c NOT IN (SELECT c FROM p WHERE status = 'retracted' AND c IS NOT NULL) GROUP BY id) SELECT inc.id, coalesce(live, '') AS live FROM inc LEFT JOIN l USING (id)")
 def live_identifiers(spark, folder):
     """Identifiers of each record that no retracted record holds."""

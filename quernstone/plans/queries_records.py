@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quernstone.functions import arrays, dates, rules, text, urls
 from quernstone.operators.latest import latest_by
-from quernstone.operators.search import SEVERITIES, QuerySpec, by_identifier, stands
+from quernstone.operators.search import SEVERITIES, QuerySpec, by_id, by_identifier, stands
 from quernstone.plans.registry import Registry, table
 
 REGISTRY = Registry()
@@ -48,6 +48,24 @@ def filter_wide_text(spark, folder):
     return QuerySpec(text="CWE-22", text_columns=("id", "title", "attack_vector", "affected", "cwe_ids")).rows(incidents(spark, folder, "id", "title", "attack_vector", "affected", "cwe_ids")).select("id")
 
 
+@REGISTRY.add("filter_lacking", f"WITH {INC} SELECT id, severity FROM inc WHERE severity = 'High' AND len(coalesce(cve_ids, [])) = 0")
+def filter_lacking(spark, folder):
+    """Records of a severity that hold no identifier."""
+    return QuerySpec(filters={"severity": "High", "year": None}, lacks=["cve_ids"]).rows(incidents(spark, folder, "id", "year", "severity", "cve_ids")).select("id", "severity")
+
+
+@REGISTRY.add("filter_reference", f"WITH {INC} SELECT id, title FROM inc WHERE contains(lower(concat_ws(' ', id, title, array_to_string(cve_ids, ' '), \"references\"[1].url)), 'harrow.example/item')")
+def filter_reference(spark, folder):
+    """Text search that reaches the primary reference."""
+    return QuerySpec(text=" Harrow.example/ITEM ").rows(incidents(spark, folder, "id", "title", "cve_ids", "references")).select("id", "title")
+
+
+@REGISTRY.add("record_by_id", f"WITH {INC} SELECT id, title, status FROM inc WHERE id = 'INC-00000042'")
+def record_by_id(spark, folder):
+    """One record, retracted or not, by its id."""
+    return by_id(incidents(spark, folder, "id", "title", "status"), "INC-00000042")
+
+
 @REGISTRY.add("by_identifier", f"WITH {INC} SELECT id, cve_ids FROM inc WHERE list_contains(cve_ids, 'CVE-2024-10000336')")
 def identifier_lookup(spark, folder):
     """Records that hold an identifier; the argument's case and blanks don't matter."""

@@ -383,6 +383,43 @@ def answered_ids(spark, folder):
     return redirects.answer(*_log(spark, folder)).select("id", "kind", F.array_join("targets", ",").alias("targets"))
 
 
+# The same log with reasons; every fifth id has a scoped record before its general one, whose successor lies elsewhere.
+_STATUS = _WALK_ALL.replace("WHERE p_partkey % 3 <> 0), live AS", "WHERE p_partkey % 3 <> 0 AND p_partkey % 11 <> 0), live AS") + """, single AS (
+        SELECT p_partkey AS id, p_partkey AS node, [p_partkey] AS path FROM part
+        UNION ALL SELECT w.id, l."into"[1], list_append(w.path, l."into"[1]) FROM single w JOIN log l ON l."from" = w.node WHERE len(l."into") = 1 AND NOT list_contains(w.path, l."into"[1]) AND w.node NOT IN (SELECT id FROM live)
+    ), o AS (SELECT id, max(CASE WHEN node IN (SELECT id FROM live) THEN node END) AS one FROM single GROUP BY id
+    ), a AS (
+        SELECT id, id % 3 = 0 AS alive, id % 5 = 0 AND id % 3 <> 0 AS scoped, id % 3 <> 0 AS known, 'r' || (id % 4) AS reason FROM o
+    )"""
+
+
+def _status(spark, folder, release):
+    ids, log, live = _log(spark, folder)
+    k = F.col("from")
+    general = log.select((k * 2 + 1).alias("seq"), "from", "into", F.concat(F.lit("r"), (k % 4).cast("string")).alias("reason"), F.lit(None).cast("array<string>").alias("releases"))
+    scoped = log.where("from % 5 = 0").select((k * 2).alias("seq"), "from", F.array(k + 2).alias("into"), F.lit("moved").alias("reason"), F.array(F.lit("v1.0.0"), F.lit("v1.1.0")).alias("releases"))
+    out = redirects.status(ids, general.unionByName(scoped), live, release, untold=("r3",))
+    return out.select("id", "status", "successor", F.array_join("group", ",").alias("group"), F.size(F.coalesce(F.map_keys("by_release"), F.array().cast("array<string>"))).alias("releases"), "reason")
+
+
+@REGISTRY.add("id_status", _STATUS + """ SELECT a.id, CASE WHEN alive THEN 'live' WHEN scoped THEN 'release-dependent' WHEN known AND reason = 'r3' THEN 'pre-tombstone' WHEN one IS NOT NULL THEN 'successor' WHEN len(coalesce(targets, [])) > 0 THEN 'group' WHEN known THEN 'withdrawn' ELSE 'unknown' END AS status,
+    CASE WHEN alive OR (NOT scoped AND reason <> 'r3') THEN one END AS successor, coalesce(array_to_string(targets, ','), '') AS "group", CASE WHEN scoped THEN 2 ELSE 0 END AS releases, CASE WHEN NOT alive THEN reason END AS reason
+    FROM a JOIN o USING (id) JOIN g USING (id)""")
+def id_status(spark, folder):
+    """How each id resolves in general, with the reason."""
+    return _status(spark, folder, None)
+
+
+@REGISTRY.add("id_status_in_release", _STATUS + """, p AS (SELECT *, CASE WHEN scoped THEN id + 2 ELSE id END AS start FROM a), q AS (
+        SELECT p.*, coalesce(o.one, CASE WHEN p.start % 3 = 0 THEN p.start END) AS one, coalesce(g.targets, []) AS targets FROM p LEFT JOIN o ON o.id = p.start LEFT JOIN g ON g.id = p.start
+    ) SELECT id, CASE WHEN alive THEN 'live' WHEN scoped THEN CASE WHEN one IS NOT NULL THEN 'successor' WHEN len(targets) > 0 THEN 'group' ELSE 'withdrawn' END
+        WHEN known AND reason = 'r3' THEN 'pre-tombstone' WHEN one IS NOT NULL THEN 'successor' WHEN len(targets) > 0 THEN 'group' WHEN known THEN 'withdrawn' ELSE 'unknown' END AS status,
+    CASE WHEN alive OR scoped OR reason <> 'r3' THEN one END AS successor, array_to_string(targets, ',') AS "group", CASE WHEN scoped THEN 2 ELSE 0 END AS releases, CASE WHEN alive THEN NULL WHEN scoped THEN 'moved' ELSE reason END AS reason FROM q""")
+def id_status_in_release(spark, folder):
+    """How each id that a citation took from release 1.1.0 resolves."""
+    return _status(spark, folder, "1.1.0")
+
+
 @REGISTRY.add("merged_records")
 def merged_records(spark, folder):
     """Records merged in order by identifiers, URLs and titles; see tests for the reference run."""

@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quernstone.operators.nested_records import KINDS, element_table, shred_records, unreadable_records
 from quernstone.plans.registry import Registry, table
+from quernstone.sources import adapters
 
 REGISTRY = Registry()
 
@@ -94,3 +95,32 @@ def p6_records(spark, folder):
 def p6_unreadable(spark, folder):
     """Payloads without a record, with the reason."""
     return unreadable_records(table(spark, folder, "cve_records"))
+
+
+@REGISTRY.add(
+    "feed_cve_rows",
+    _SQL
+    + r""", own AS (SELECT * FROM items WHERE container = 'cna' AND json_type(e) = 'OBJECT'
+    ), d AS (
+        SELECT record_id, record_pos, arg_min(e ->> 'value', CASE WHEN lower(e ->> 'lang') LIKE 'en%' THEN 0 ELSE 1000000 END + item_pos) AS description FROM own WHERE kind = 'description' AND trim(e ->> 'value') <> '' GROUP BY ALL
+    ), m AS (
+        SELECT i.record_id, i.record_pos, k, (i.container = 'adp')::INT * 1000000000 + container_pos * 10000000 + item_pos * 10 + k AS rank, TRY_CAST(json_extract_string(e, '$.' || ['cvssV3_1', 'cvssV3_0', 'cvssV4_0'][k] || '.baseScore') AS DOUBLE) AS score, json_extract_string(e, '$.' || ['cvssV3_1', 'cvssV3_0', 'cvssV4_0'][k] || '.baseSeverity') AS severity
+        FROM items i CROSS JOIN (SELECT unnest([1, 2, 3]) AS k) WHERE kind = 'metric' AND json_type(e) = 'OBJECT'
+    ), s AS (SELECT record_id, record_pos, arg_min(struct_pack(score := score, severity := severity), rank) AS v FROM m WHERE score IS NOT NULL GROUP BY ALL
+    ), c AS (SELECT record_id, record_pos, string_agg(DISTINCT e ->> 'cweId', ' ' ORDER BY e ->> 'cweId') AS cwes FROM subs WHERE kind = 'problem' AND container = 'cna' AND regexp_full_match(e ->> 'cweId', 'CWE-[0-9]{1,4}') GROUP BY ALL
+    ), a AS (
+        SELECT record_id, record_pos, item_pos, trim(coalesce(e ->> 'vendor', '')) AS v, trim(coalesce(e ->> 'product', e ->> 'packageName', '')) AS p FROM own WHERE kind = 'affected'
+    ), l AS (
+        SELECT record_id, record_pos, min(item_pos) AS rank, CASE WHEN lower(v) NOT IN ('', 'n/a', 'unspecified') AND lower(v) <> lower(p) THEN v || '/' || p ELSE p END AS label FROM a WHERE lower(p) NOT IN ('', 'n/a', 'unspecified') GROUP BY ALL
+    ), f AS (SELECT record_id, record_pos, array_to_string(list(label ORDER BY rank)[:4], ', ') AS affected FROM l GROUP BY ALL
+    ), u AS (SELECT record_id, record_pos, count(DISTINCT e ->> 'url') AS links FROM own WHERE kind = 'reference' AND trim(e ->> 'url') <> '' GROUP BY ALL
+    )
+    SELECT b.record_id, b.record_pos::INT AS record_pos, j -> 'cveMetadata' ->> 'cveId' AS cve_id, j -> 'cveMetadata' ->> 'state' AS state, CASE WHEN json_type(j -> 'containers' -> 'cna' -> 'title') = 'VARCHAR' THEN nullif(trim(j -> 'containers' -> 'cna' ->> 'title'), '') END AS title,
+        description, s.v.score AS score, upper(left(s.v.severity, 1)) || lower(substr(s.v.severity, 2)) AS severity, coalesce(cwes, '') AS cwes, coalesce(affected, '') AS affected, coalesce(links, 0)::INT AS links
+    FROM bare b LEFT JOIN d USING (record_id, record_pos) LEFT JOIN s USING (record_id, record_pos) LEFT JOIN c USING (record_id, record_pos) LEFT JOIN f USING (record_id, record_pos) LEFT JOIN u USING (record_id, record_pos)
+    WHERE j IS NOT NULL AND (json_exists(j, '$.containers') OR json_exists(j, '$.cveMetadata'))""",
+)
+def feed_cve_rows(spark, folder):
+    """Rows of one shape from CVE records: text, score, weaknesses, affected products, links."""
+    rows = adapters.cve_rows(shred_records(table(spark, folder, "cve_records")))
+    return rows.select("record_id", "record_pos", "cve_id", "state", "title", "description", "score", "severity", F.array_join("cwes", " ").alias("cwes"), "affected", F.size("references").alias("links"))
