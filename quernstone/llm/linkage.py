@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quernstone.functions import textscan
@@ -24,7 +24,7 @@ from quernstone.plans.reducer import Reducer
 #: A page that this many records cite, or this share of them if more, says little by itself.
 HUB_RECORDS, HUB_SHARE = 12, 2e-5
 WORD_RECORDS = 12
-#: Rarest words of a text that make blocks, two or three together.
+#: Rarest counted words of a text that make blocks, two or three together; uncounted ones all make blocks alone.
 KEY_WORDS = 6
 #: Rows that two words alone may be expected to meet in before a third joins them.
 EXPECTED_ROWS = 0.5
@@ -80,28 +80,30 @@ def _months(side: str, margin: int = MARGIN_DAYS) -> Column:
     return F.when(F.col("day").isNotNull(), F.array_append(spans, F.lit(0) if side == "left" else F.lit(-1))).otherwise(F.array(F.lit(-1), F.lit(0))).alias("months")
 
 
-def word_keys(starts: np.ndarray, sizes: np.ndarray, words: np.ndarray, records: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row number and key: each uncounted word alone, and every two of a row's rarest words together, with
-    a third where the two alone are expected to meet in more than EXPECTED_ROWS of n rows."""
+def word_keys(starts: np.ndarray, sizes: np.ndarray, words: np.ndarray, records: np.ndarray, n: int, key_words: int = KEY_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Row number and key: each uncounted word alone, and every two of a row's rarest counted words together,
+    with a third where the two alone are expected to meet in more than EXPECTED_ROWS of n rows."""
     row = np.repeat(np.arange(len(starts)), sizes)
     order = np.lexsort((words, records, row))
-    place = np.arange(len(words)) - np.repeat(starts, sizes)
-    word = np.zeros((len(starts), KEY_WORDS), np.uint64)
-    count = np.full((len(starts), KEY_WORDS), -1, np.int64)
-    top = place < KEY_WORDS
-    word[row[top], place[top]], count[row[top], place[top]] = words[order][top], records[order][top]
+    words, records = words[order], records[order]
+    single = records == 0
+    rows, keys = [row[single]], [textscan.mix64(words[single])]
+    # Uncounted words come first; they take no place from the counted ones.
+    place = np.arange(len(words)) - np.repeat(starts + np.bincount(row, single, len(starts)).astype(np.int64), sizes)
+    word = np.zeros((len(starts), key_words), np.uint64)
+    count = np.full((len(starts), key_words), -1, np.int64)
+    top = ~single & (place < key_words)
+    word[row[top], place[top]], count[row[top], place[top]] = words[top], records[top]
     who = np.arange(len(starts))
-    single = count == 0
-    rows, keys = [np.repeat(who, single.sum(1))], [textscan.mix64(word[single])]
-    for i in range(KEY_WORDS):
-        for j in range(i + 1, KEY_WORDS):
-            both = (count[:, i] > 0) & (count[:, j] > 0)
+    for i in range(key_words):
+        for j in range(i + 1, key_words):
+            both = count[:, j] > 0
             key = textscan.mix64(word[:, i] + textscan.mix64(word[:, j]))
             expected = count[:, i] / n * count[:, j]
             fine = both & (expected <= EXPECTED_ROWS)
             rows.append(who[fine])
             keys.append(key[fine])
-            for k in range(j + 1, KEY_WORDS):
+            for k in range(j + 1, key_words):
                 more = both & ~fine & (count[:, k] > 0)
                 rows.append(who[more])
                 keys.append(textscan.mix64(word[more, k] + textscan.mix64(key[more])))
@@ -148,7 +150,7 @@ def _expand(keys: np.ndarray, rows: np.ndarray, lists: list) -> tuple[np.ndarray
     return _salted(np.repeat(keys, each), flat[at]), np.repeat(rows, each)
 
 
-def _block_rows(common, wanted=None):
+def _block_rows(common, wanted=None, key_words: int = KEY_WORDS):
     """(key, id) of an entity's blocks.  Rows in: id, text, hashes of plain links, hashes of hub links, months."""
 
     def run(batches):
@@ -167,13 +169,13 @@ def _block_rows(common, wanted=None):
                     sizes = np.diff(np.append(starts, len(docs)))
                     who = docs[starts] + begin
                     records = words_of.look_up(words)
-                    row, key = word_keys(starts, sizes, words, records, words_of.records)
+                    row, key = word_keys(starts, sizes, words, records, words_of.records, key_words)
                     key, row = _expand(key, who[row], months)
                     keys.append(key)
                     rows.append(row)
                     if any(hubs[i] for i in who):
                         order = np.lexsort((words, records, np.repeat(np.arange(len(starts)), sizes)))
-                        rare = np.flatnonzero(np.arange(len(words)) - np.repeat(starts, sizes) < KEY_WORDS)
+                        rare = np.flatnonzero(np.arange(len(words)) - np.repeat(starts, sizes) < key_words)
                         key, row = _expand(words[order][rare], np.repeat(who, sizes)[rare], hubs)
                         keys.append(key)
                         rows.append(row)
@@ -189,6 +191,24 @@ def _block_rows(common, wanted=None):
     return run
 
 
+def _split_links(hubs):
+    """Rows in: id, text, day, links.  The links apart by whether they are hubs."""
+
+    def run(batches):
+        pages = hubs.value
+        for batch in batches:
+            links = batch.column(3)
+            sizes = np.diff(np.frombuffer(links.buffers()[1], np.int32)[links.offset : links.offset + len(links) + 1])
+            flat = links.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(links)), sizes)
+            at = np.minimum(np.searchsorted(pages, flat), max(0, len(pages) - 1))
+            hub = pages[at] == flat if len(pages) else np.zeros(len(flat), bool)
+            lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row[m], minlength=len(links)))).astype(np.int32)), pa.array(flat[m], pa.int64())) for m in (~hub, hub)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["id", "text", "day", "plain", "hub"])
+
+    return run
+
+
 def _hub_pairs(left: DataFrame, right: DataFrame, hubs: DataFrame) -> DataFrame:
     """(right_id, left_id) of all that share a hub page and lie at most HUB_DAYS apart or have an unknown date.
 
@@ -259,37 +279,59 @@ def _answer(common):
     return run
 
 
-def link_entities(left: DataFrame, right: DataFrame) -> DataFrame:
+class _Prepared:
+    """Both sides with their links apart, the counts of common words, and the candidate pairs."""
+
+    def __init__(self, left: DataFrame, right: DataFrame, key_words: int) -> None:
+        spark = left.sparkSession
+        left, right = cut(left, "left"), cut(right, "right")
+        n = left.count()
+        text = left.select("text").union(right.select("text"))
+        least = max(WORD_RECORDS, int(np.ceil(LEAST_SHARE * n)))
+        often = text.mapInArrow(_count_words, "word bigint, records bigint").groupBy("word").agg(F.sum("records").alias("records")).where(F.col("records") >= least).toPandas()
+        common = spark.sparkContext.broadcast(Words(often["word"].to_numpy(np.int64).view(np.uint64), often["records"].to_numpy(np.int64), n))
+
+        cited = left.select(F.explode("urls").alias("url")).groupBy("url").count()
+        # At most (links per record) / HUB_SHARE pages.
+        often_cited = cited.where(F.col("count") >= max(HUB_RECORDS, int(np.ceil(HUB_SHARE * n))))
+        pages = Cut(often_cited.select(F.xxhash64("url").alias("page"), F.ceil(F.col("count") / PIECE).cast("int").alias("pieces")), "pages").read()
+        # At eight bytes a page they are a broadcast of about a megabyte at most.
+        hubs = spark.sparkContext.broadcast(np.sort(pages.toPandas()["page"].to_numpy(np.int64)))
+
+        def hashed(df: DataFrame) -> DataFrame:
+            kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select("id", "text", "day").schema)
+            return df.select("id", "text", "day", F.transform("urls", lambda u: F.xxhash64(u)).alias("links")).mapInArrow(_split_links(hubs), f"{kinds}, plain array<bigint>, hub array<bigint>")
+
+        left, right = Cut(hashed(left), "left").read(), Cut(hashed(right), "right").read()
+
+        kinds = {side: df.schema["id"].dataType.simpleString() for side, df in (("left", left), ("right", right))}
+        of_right = right.select("id", "text", "plain", "hub", _months("right")).mapInArrow(_block_rows(common, None, key_words), f"key bigint, id {kinds['right']}").distinct()
+        of_right = Cut(of_right, "blocks").read()
+        wanted = spark.sparkContext.broadcast(Reducer(of_right, F.col("key"), of_right.count()))
+        of_left = left.select("id", "text", "plain", "hub", _months("left")).mapInArrow(_block_rows(common, wanted, key_words), f"key bigint, id {kinds['left']}")
+        pairs = of_right.withColumnRenamed("id", "right_id").join(of_left.withColumnRenamed("id", "left_id"), "key").select("left_id", "right_id")
+        pairs = pairs.unionByName(_hub_pairs(left, right, pages)).distinct()
+
+        self.left, self.right, self.common, self.kinds, self.pairs = left, right, common, kinds, pairs
+
+
+def candidates(left: DataFrame, right: DataFrame, key_words: int = KEY_WORDS) -> DataFrame:
+    """(left_id, right_id) of the pairs that the voters look at."""
+    return _Prepared(left, right, key_words).pairs.select("left_id", "right_id")
+
+
+def link_entities(left: DataFrame, right: DataFrame, key_words: int = KEY_WORDS, every: bool = False) -> DataFrame:
     """(left_id, right_id, confidence): for each right entity its most probable left one, if confident.
 
-    Both sides come from ``entities``.  Equal confidence goes to the larger share of words in common, the
+    With ``every`` all confident left ones come, with their ``rank`` from 1 in the order that decides otherwise.
+    ``key_words`` is the number of rarest counted words that make blocks; more find pairs whose sides have more
+    counted words of their own, at the cost of its cube.  Both sides come from ``entities``.  Equal confidence goes to the larger share of words in common, the
     nearer date, then the smaller id.  Empty texts, unknown dates and missing links leave their voters
     undecided; an empty side gives no rows.
     """
     spark = left.sparkSession
-    left, right = cut(left, "left"), cut(right, "right")
-    n = left.count()
-    text = left.select("text").union(right.select("text"))
-    least = max(WORD_RECORDS, int(np.ceil(LEAST_SHARE * n)))
-    often = text.mapInArrow(_count_words, "word bigint, records bigint").groupBy("word").agg(F.sum("records").alias("records")).where(F.col("records") >= least).toPandas()
-    common = spark.sparkContext.broadcast(Words(often["word"].to_numpy(np.int64).view(np.uint64), often["records"].to_numpy(np.int64), n))
-
-    cited = left.select(F.explode("urls").alias("url")).groupBy("url").count()
-    # At most (links per record) / HUB_SHARE pages.
-    often_cited = cited.where(F.col("count") >= max(HUB_RECORDS, int(np.ceil(HUB_SHARE * n))))
-    pages = Cut(often_cited.select(F.xxhash64("url").alias("page"), F.ceil(F.col("count") / PIECE).cast("int").alias("pieces")), "pages").read()
-    hubs = pages.agg(F.array_sort(F.collect_set("page"))).scalar()
-    hashed = lambda df: df.withColumn("links", F.transform("urls", lambda u: F.xxhash64(u))).select("id", "text", "day", F.array_except("links", hubs).alias("plain"), F.array_intersect("links", hubs).alias("hub"))
-    left, right = Cut(hashed(left), "left").read(), Cut(hashed(right), "right").read()
-
-    kinds = {side: df.schema["id"].dataType.simpleString() for side, df in (("left", left), ("right", right))}
-    of_right = right.select("id", "text", "plain", "hub", _months("right")).mapInArrow(_block_rows(common), f"key bigint, id {kinds['right']}").distinct()
-    of_right = Cut(of_right, "blocks").read()
-    wanted = spark.sparkContext.broadcast(Reducer(of_right, F.col("key")))
-    of_left = left.select("id", "text", "plain", "hub", _months("left")).mapInArrow(_block_rows(common, wanted), f"key bigint, id {kinds['left']}")
-    pairs = of_right.withColumnRenamed("id", "right_id").join(of_left.withColumnRenamed("id", "left_id"), "key").select("left_id", "right_id")
-    pairs = pairs.unionByName(_hub_pairs(left, right, pages)).distinct()
-
+    ready = _Prepared(left, right, key_words)
+    left, right, common, kinds, pairs = ready.left, ready.right, ready.common, ready.kinds, ready.pairs
     a = left.select(F.col("id").alias("left_id"), F.col("text").alias("left_text"), F.col("day").alias("left_day"), F.col("plain").alias("left_plain"), F.col("hub").alias("left_hub"))
     b = right.select(F.col("id").alias("right_id"), F.col("text").alias("right_text"), F.col("day").alias("right_day"), F.col("plain").alias("right_plain"), F.col("hub").alias("right_hub"))
     gap = days_apart(F.col("left_day"), F.col("right_day"))
@@ -306,5 +348,8 @@ def link_entities(left: DataFrame, right: DataFrame) -> DataFrame:
     patterns["confidence"] = model.posterior(patterns[VOTERS].to_numpy(np.int64))
     sure = spark.createDataFrame(patterns[[*VOTERS, "confidence"]]) if len(patterns) else spark.createDataFrame([], ", ".join(f"{v} int" for v in VOTERS) + ", confidence double")
     likely = answers.join(F.broadcast(sure), VOTERS).where(F.col("confidence") >= CONFIDENT)
+    if every:
+        order = Window.partitionBy("right_id").orderBy(F.desc("confidence"), F.desc("weight"), "apart", "left_id")
+        return likely.select("left_id", "right_id", "confidence", F.row_number().over(order).alias("rank"))
     best = likely.groupBy("right_id").agg(F.min_by(F.struct("left_id", "confidence"), F.struct(-F.col("confidence"), -F.col("weight"), "apart", "left_id")).alias("best"))
     return best.select("best.left_id", "right_id", "best.confidence")

@@ -7,6 +7,7 @@ draws need no shuffle; a last sort by hash mixes all sources.
 
 from __future__ import annotations
 
+import itertools
 import math
 
 from pyspark.sql import DataFrame
@@ -16,14 +17,15 @@ from quernstone.llm.tokens import VOCABULARY, token_counts
 from quernstone.plans.lineage import cut
 
 
-def _capped_mean(rate: float, most: int) -> float:
+def _chances(rate: float, most: int) -> list[float]:
+    """P(Poisson(rate) = k) for k below ``most``, by logarithms, so that no rate is too large."""
+    return [math.exp(k * math.log(rate) - rate - math.lgamma(k + 1)) for k in range(most)]
+
+
+def capped_mean(rate: float, most: int) -> float:
     """Mean of min(Poisson(rate), most)."""
-    term, below, total = math.exp(-rate), 0.0, 0.0
-    for k in range(most):
-        total += k * term
-        below += term
-        term *= rate / (k + 1)
-    return total + most * max(0.0, 1 - below)
+    chances = _chances(rate, most) if rate > 0 else [1.0] * min(most, 1)
+    return sum(k * p for k, p in enumerate(chances)) + most * max(0.0, 1 - sum(chances))
 
 
 def thresholds(mean: float, most: int) -> list[float]:
@@ -36,28 +38,25 @@ def thresholds(mean: float, most: int) -> list[float]:
     if mean >= most * (1 - 1e-9):
         return [0.0] * most
     low, high = 0.0, 1.0
-    while _capped_mean(high, most) < mean:
+    while capped_mean(high, most) < mean:
         high *= 2
     for _ in range(100):
         middle = (low + high) / 2
-        low, high = (middle, high) if _capped_mean(middle, most) < mean else (low, middle)
-    term, below, out = math.exp(-high), 0.0, []
-    for k in range(most):
-        below += term
-        out.append(min(below, 1.0))
-        term *= high / (k + 1)
-    return out
+        low, high = (middle, high) if capped_mean(middle, most) < mean else (low, middle)
+    return [min(x, 1.0) for x in itertools.accumulate(_chances(high, most))]
 
 
 def plan_mix(targets: list[tuple[str, float, int]], available: dict[str, int], total: float | None = None) -> dict[str, tuple[float, list[float]]]:
     """source -> (mean copies of a text, thresholds).
 
-    Without ``total`` the mix is as large as it can be with every source that has tokens at its share.
+    Without ``total`` the mix is as large as it can be with every source that has tokens at its share and
+    drawn at a Poisson rate of at most its cap.  With one, a source that can't reach its share even so is
+    used up to its cap.
     """
     usable = [(s, w, r) for s, w, r in targets if w > 0 and r > 0 and available.get(s, 0) > 0]
     if not usable:
         return {}
-    size = total if total is not None else min(r * available[s] / w for s, w, r in usable)
+    size = total if total is not None else min(capped_mean(r, r) * available[s] / w for s, w, r in usable)
     return {s: (min(w * size / available[s], float(r)), thresholds(min(w * size / available[s], float(r)), r)) for s, w, r in usable}
 
 
@@ -75,14 +74,15 @@ def mix_sources(
     text_column: str,
     source_column: str,
     seed: int = 7,
-    total_tokens: float | None = None,
+    total_tokens: float | str | None = None,
     vocabulary: str = VOCABULARY,
 ) -> Mix:
     """Draws each mix of ``targets`` (mix_name, source, target_share, max_repeats) from the texts.
 
     A text is used at most ``max_repeats`` times in a mix.  Sources without tokens are reported with a
-    share of 0; the others share the mix in their targets' proportion.  With ``total_tokens`` the mix aims
-    at that size instead of the largest one with all shares reached, and sources at their cap fall short.
+    share of 0; the others share the mix in their targets' proportion.  With ``total_tokens`` (a number, or
+    "all" for as many as the texts have) the mix aims at that size instead of the largest one with all
+    shares reached, and sources at their cap fall short.
     Null sources and texts of no tokens are never drawn; repeated rows are texts of their own; other
     columns are ignored, whatever their names.
     """
@@ -92,6 +92,8 @@ def mix_sources(
     rows = [(str(r[0]), str(r[1]), float(r[2]), int(r[3])) for r in targets.select("mix_name", "source", "target_share", "max_repeats").dropna().collect()]
     named = spark.createDataFrame([(s,) for s in sorted({r[1] for r in rows})], "source string")
     available = {r[0]: r[1] for r in sized.join(F.broadcast(named), "source", "left_semi").groupBy("source").agg(F.sum("tokens")).collect()}
+    if total_tokens == "all":
+        total_tokens = float(sized.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0])
     plans = []
     for mix in sorted({r[0] for r in rows}):
         own = [(s, w, m) for name, s, w, m in rows if name == mix]

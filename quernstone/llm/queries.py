@@ -190,8 +190,15 @@ def p8_fill(spark, folder):
     return fill_rates(_packed(spark, folder))
 
 
-def _mix(spark, folder):
-    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), "doc_id", "text", "source")
+@REGISTRY.add("p8_apart")
+def p8_apart(spark, folder):
+    """The same, with texts of vendors and of the press in containers of their own."""
+    apart = {"press-watch": ["vendor-psirt", "cvelist"]}
+    return pack_texts(table(spark, folder, "documents"), table(spark, folder, "pack_limits"), "doc_id", "text", "source", apart).withColumnRenamed("id", "doc_id")
+
+
+def _mix(spark, folder, total=None):
+    return mix_sources(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), "doc_id", "text", "source", total_tokens=total)
 
 
 @REGISTRY.add("p9_draws")
@@ -206,6 +213,12 @@ def p9_shares(spark, folder):
     return _mix(spark, folder).shares
 
 
+@REGISTRY.add("p9_shortfalls")
+def p9_shortfalls(spark, folder):
+    """The shares reached by mixes of as many tokens as all texts have: sources at their cap fall short."""
+    return _mix(spark, folder, "all").shares
+
+
 #: How far a record's text, rating, references and tags are trusted by the care its feed took.
 _CARE = {"curated": 1.0, "reviewed": 0.7, "auto": 0.4}
 _SEVERITIES = ["Critical", "High", "Medium", "Low", "Info"]

@@ -3,11 +3,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quernstone.functions.dates import day_range, days_apart
 from quernstone.llm.label_model import LabelModel, State
-from quernstone.llm.linkage import _hub_pairs, entities, link_entities
+from quernstone.llm.linkage import _hub_pairs, candidates, entities, link_entities
 
 LEFT = "id string, title string, date string, urls array<string>, at int, text string"
 
@@ -83,6 +84,48 @@ def test_day_ranges(spark):
     assert {r.t: r.n for r in rows}["2024-03-05"] == 4 and {r.t: r.n for r in rows}["2024"] == 0
 
 
+def with_own_words(rng, pairs, own, fillers=400):
+    """Pairs on one day that share 14 words and no page, while each side has words that nothing else has."""
+    words = [f"{a}{b}" for a in ("al", "be", "co", "du", "em", "fo", "gi", "hu") for b in ("ran", "tel", "mos", "pid", "kul", "ver", "zon", "bix", "dax", "nor")]
+    rows = lambda: rng.sample(words, 14)
+    day = lambda: f"{rng.randint(2019, 2025)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"
+    left, right, truth = [], [], set()
+    for i in range(fillers):
+        left.append((f"f{i:03}", " ".join(rows()), day(), None, 1, "x"))
+        right.append((f"g{i:03}", " ".join(rows()), day(), None, 1, "x"))
+    for i in range(pairs):
+        shared, at = rows(), day()
+        for side, table in (("a", left), ("b", right)):
+            mixed = shared + [f"{side}{i}q{j}" for j in range(own)]
+            rng.shuffle(mixed)
+            table.append((f"{side}{i:02}", " ".join(mixed), at, None, 1, "x"))
+        truth.add((f"a{i:02}", f"b{i:02}"))
+    return left, right, truth
+
+
+@pytest.mark.parametrize("own", [0, 6])
+def test_own_words_hide_no_candidate(spark, own):
+    left, right, truth = with_own_words(random.Random(own), 50, own)
+    sides = [entities(spark.createDataFrame(rows, LEFT), "id", "title", "date", F.col("urls"), "at") for rows in (left, right)]
+    got = {(r.left_id, r.right_id) for r in candidates(*sides).collect()}
+    assert truth <= got
+
+
+def test_every_confident_partner_has_its_rank(spark):
+    left, right, truth = world(random.Random(6), 300)
+    again = [(f"z{i[1:]}", *rest) for i, *rest in left if (i, f"r{i[1:]}") in truth]
+    sides = [entities(spark.createDataFrame(rows, LEFT), "id", "title", "date", F.col("urls"), "at") for rows in (left + again, right)]
+    out = link_entities(*sides, every=True).collect()
+    ranks = {}
+    for r in out:
+        ranks.setdefault(r.right_id, []).append(r.rank)
+    assert all(sorted(v) == list(range(1, len(v) + 1)) for v in ranks.values())
+    both = {a for a, b in truth if {(a, b), (f"z{a[1:]}", b)} <= {(r.left_id, r.right_id) for r in out}}
+    assert len(both) >= 0.9 * len(truth)
+    best = {(r.left_id, r.right_id) for r in link_entities(*sides).collect()}
+    assert best == {(r.left_id, r.right_id) for r in out if r["rank"] == 1}
+
+
 def test_hub_pages_make_candidates(spark):
     rng = random.Random(4)
     left, right, truth = world(rng, 300)

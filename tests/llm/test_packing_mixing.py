@@ -1,3 +1,4 @@
+import math
 import random
 from collections import Counter, defaultdict
 
@@ -53,6 +54,11 @@ def test_nothing_is_lost_or_split_without_need(spark):
     assert pack_texts(df, limits.limit(0), "doc_id", "text", "source").count() == 0
 
 
+def test_rates_beyond_the_range_of_exp():
+    assert mixing.capped_mean(5000.0, 3) == 3 and abs(mixing.capped_mean(900.0, 2000) - 900) < 1e-6
+    assert abs(sum(u >= t for t in mixing.thresholds(900.0, 2000) for u in (0.5,)) - 900) < 5
+
+
 @pytest.mark.parametrize("mean, most", [(0.3, 1), (0.9, 1), (1.7, 4), (3.9, 4), (4, 4), (9, 4), (0, 3), (2.5, 12)])
 def test_thresholds_have_the_wanted_mean(mean, most):
     steps = mixing.thresholds(mean, most)
@@ -74,7 +80,17 @@ def test_shares_and_caps(spark):
     assert shares["m", "gone"].actual_share == 0 and shares["o", "gone"].tokens == 0 and shares["n", "s1"].actual_share == 1
     draws = mix.draws.collect()
     per = Counter((r.mix_name, r.id) for r in draws)
-    assert max(n for (m, _), n in per.items() if m == "m") <= 4 and all(n == 3 for (m, _), n in per.items() if m == "n")
+    assert max(n for (m, _), n in per.items() if m == "m") <= 4
+    # The binding source is drawn too: copies of its texts follow a Poisson distribution up to the cap.
+    own = [r[0] for r in rows if r[2] == "s1" and r[1]]
+    spread = Counter(per.get(("n", i), 0) for i in own)
+    want = [math.exp(-3), 3 * math.exp(-3), 4.5 * math.exp(-3)]
+    assert set(spread) == {0, 1, 2, 3} and all(abs(spread[k] / len(own) - p) < 0.02 for k, p in enumerate(want))
+    # As many tokens as all texts have: a source that can't reach its share is used up to its cap.
+    full = {(r.mix_name, r.source): r for r in mixing.mix_sources(df, targets, "doc_id", "text", "source", total_tokens="all").shares.collect()}
+    assert full["m", "s3"].actual_share > 0.15 and full["m", "s3"].most_repeats <= 4 and full["m", "s1"].most_repeats == 1
+    total = sum(len(encoder(VOCABULARY).encode_ordinary(r[1])) for r in rows if r[1] and r[2])
+    assert abs(sum(r.tokens for (m, _), r in full.items() if m == "n") - total) < 0.05 * total
     assert [(r.mix_name, r.place) for r in draws] == sorted((r.mix_name, r.place) for r in draws)
     assert not {r.id for r in draws} & {9000, 9001, 9002}
     again = mixing.mix_sources(df.repartition(7), targets, "doc_id", "text", "source").draws.collect()
