@@ -51,53 +51,79 @@ def linked_sets(keys: DataFrame) -> DataFrame:
     raise RuntimeError("the links did not settle")
 
 
+class _Record:
+    """A record while rows are replayed: its first row, year, and all keys that it has gathered."""
+
+    def __init__(self, row) -> None:
+        self.seq, self.into = row.seq, None
+        self.year = row.year if row.year == row.year else None
+        self.keys = {kind: dict.fromkeys(getattr(row, kind)) for kind in KINDS[:3]}
+        self.prior = set(getattr(row, "prior", None) if getattr(row, "prior", None) is not None else ())
+
+    def live(self) -> _Record:
+        record = self
+        while record.into is not None:
+            record = record.into
+        return record
+
+    def take(self, other: _Record) -> None:
+        other.into = self
+        self.year = other.year if self.year is None else self.year
+        self.prior |= other.prior
+        for kind, keys in other.keys.items():
+            self.keys[kind].update(keys)
+
+    def apart(self, other: _Record) -> bool:
+        """Whether both have CVEs and share none."""
+        mine, others = self.keys["cve"], other.keys["cve"]
+        return bool(mine and others) and mine.keys().isdisjoint(others)
+
+    def may_share(self, other: _Record, wide: bool) -> bool:
+        """Whether a weak key may join the two; those that one published record held together always may."""
+        return bool(self.prior & other.prior) or not (wide or self.apart(other))
+
+
 def _fold(rows: pd.DataFrame) -> pd.DataFrame:
     """Replays the rows of one linked set in order; each row joins the first record that holds one of its keys.
 
-    Identifiers are tried before URLs and titles.  A URL or title is refused where both records have CVEs
-    and share none; a title also needs years at most one apart.  A row whose identifiers are held by
-    several records draws them together under the earliest.
+    CVEs are tried before source ids, URLs and titles.  A URL or title is refused where both records have CVEs
+    and share none, a round-up's URL always, unless both once lay in one published record; a title also needs
+    years at most one apart.  A record that has gained keys draws in the records that hold them, CVEs and
+    source ids always, URLs by the same rule, until it gains no more.
     """
-    owner: dict[tuple[str, str], int] = {}
-    into: dict[int, int] = {}
-    cves: dict[int, set] = {}
-    years: dict[int, float] = {}
-    held: dict[int, list] = {}
-
-    def root(i: int) -> int:
-        while into[i] != i:
-            into[i] = into[into[i]]
-            i = into[i]
-        return i
-
-    for r in rows.sort_values("seq").itertuples():
-        cve, strong = set(r.cve), [("cve", k) for k in r.cve] + [("source", k) for k in r.source]
-        hits = list(dict.fromkeys(root(owner[k]) for k in strong if k in owner))
-        weak = [("url", k) for k in r.url] + ([("title", r.title)] if r.title else [])
-        if not hits:
-            for kind, key in weak:
-                if (kind, key) in owner:
-                    o = root(owner[kind, key])
-                    apart = kind == "title" and not abs((r.year if r.year == r.year else 1e9) - years[o]) <= 1
-                    if not (cve and cves[o] and not cve & cves[o]) and not apart:
-                        hits = [o]
-                        break
-        home = min(hits, default=r.seq)
-        into.setdefault(r.seq, home)
-        if home == r.seq:
-            cves[home], years[home], held[home] = set(), r.year if r.year == r.year else -1e9, []
-        for other in hits:
-            if other != home:
-                into[other] = home
-                cves[home] |= cves.pop(other)
-                held[home] += held.pop(other)
-        cves[home] |= cve
-        held[home].append(r.seq)
-        for k in strong:
-            owner[k] = home
-        for k in weak:
-            owner.setdefault(k, home)
-    return pd.DataFrame({"seq": list(into), "survivor": [root(i) for i in into]}, dtype="int64")
+    owner: dict[str, dict[str, _Record]] = {kind: {} for kind in KINDS}
+    records: list[_Record] = []
+    round_ups = set().union(*rows["wide"]) if "wide" in rows and len(rows) else set()
+
+    def settle(record: _Record) -> None:
+        before = -1
+        while before != (before := sum(map(len, record.keys.values()))):
+            for kind in KINDS[:3]:
+                for key in list(record.keys[kind]):
+                    other = owner[kind].setdefault(key, record).live()
+                    if other is not record:
+                        if kind == "url" and not record.may_share(other, key in round_ups):
+                            continue
+                        record.take(other)
+                    owner[kind][key] = record
+
+    for row in rows.sort_values("seq").itertuples():
+        new = _Record(row)
+        records.append(new)
+        hit = next((owner[k][x].live() for k in ("cve", "source") for x in getattr(row, k) if x in owner[k]), None)
+        if hit is None:
+            found = ((owner["url"][x].live(), x) for x in row.url if x in owner["url"])
+            hit = next((r for r, x in found if r.may_share(new, x in round_ups)), None)
+        if hit is None and row.title and row.title in owner["title"]:
+            other = owner["title"][row.title].live()
+            near = other.year is not None and new.year is not None and abs(other.year - new.year) <= 1
+            hit = other if near and other.may_share(new, False) else None
+        if hit is not None:
+            hit.take(new)
+        settle(hit or new)
+        if hit is None and row.title:
+            owner["title"].setdefault(row.title, new)
+    return pd.DataFrame({"seq": [r.seq for r in records], "survivor": [r.live().seq for r in records]}, dtype="int64")
 
 
 def _fold_partition(batches):
@@ -107,19 +133,38 @@ def _fold_partition(batches):
         yield _fold(pd.concat(frames))
 
 
-def ordered_merge(rows: DataFrame) -> DataFrame:
-    """(seq, survivor): the first row of the record that each row merges into, decided in seq order.
+def ordered_merge(rows: DataFrame, round_ups: str | None = None, prior: DataFrame | None = None) -> DataFrame:
+    """(seq, survivor): the row that stands for the record into which each row merges, decided in seq order.
 
-    ``rows`` has seq, the arrays cve, source and url, title and year.  Sets of rows that share no key
+    ``rows`` has seq, the arrays cve, source and url, title and year.  ``round_ups`` is a pattern of URLs that
+    many unrelated rows cite; they join only rows of one published record.  ``prior`` is (key, id): the
+    published record that held a CVE or source id.  Sets of rows that share no key but a round-up's URL
     cannot meet, so each set is replayed alone; only its keys travel.  Rows without keys stay alone.
     """
-    slim = rows.select("seq", *(arrays.strings(F.col(k)).alias(k) for k in KINDS[:3]), "title", F.col("year").cast("double").alias("year"))
-    tied = linked_sets(record_keys(slim))
+    wide = F.filter("url", lambda u: u.rlike(round_ups)) if round_ups else F.array().cast("array<string>")
+    slim = rows.select("seq", *(arrays.strings(F.col(k)).alias(k) for k in KINDS[:3]), "title", F.col("year").cast("double").alias("year")).withColumn("wide", wide)
+    if prior is not None:
+        held = slim.select("seq", F.explode(F.concat("cve", "source")).alias("key")).join(prior.select("key", F.col("id").alias("_prior")), "key")
+        slim = slim.join(held.groupBy("seq").agg(F.array_sort(F.collect_set("_prior")).alias("prior")), "seq", "left")
+        slim = slim.withColumn("prior", F.coalesce("prior", F.array().cast(slim.schema["prior"].dataType)))
+    else:
+        slim = slim.withColumn("prior", F.array().cast("array<string>"))
+    ties = record_keys(slim.withColumn("url", F.array_except("url", "wide")))
+    # Rows of one published record may be joined by a round-up, so they are replayed together.
+    ties = ties.unionByName(slim.select("seq", F.lit("prior").alias("kind"), F.explode(F.col("prior").cast("array<string>")).alias("key")))
+    tied = linked_sets(ties)
     folded = slim.join(tied, "seq").repartition("root").mapInPandas(_fold_partition, "seq bigint, survivor bigint")
     alone = slim.select("seq").join(tied.select("seq"), "seq", "left_anti").select("seq", F.col("seq").alias("survivor"))
     return folded.unionByName(alone)
 
 
+def largest_linked_set(rows: DataFrame, round_ups: str | None = None) -> int:
+    """Rows of the largest set that ``ordered_merge`` replays in one task; 0 if no rows share a key."""
+    wide = F.filter("url", lambda u: u.rlike(round_ups)) if round_ups else F.array().cast("array<string>")
+    keys = record_keys(rows.withColumn("url", F.array_except("url", wide)))
+    return linked_sets(keys).groupBy("root").count().agg(F.coalesce(F.max("count"), F.lit(0))).first()[0]
+
+
 def merge_fields(rows: DataFrame, group: str, order: str, union: list[str], first: list[str], best: dict[str, Column]) -> DataFrame:
     """One row per group: sorted unions of arrays, first non-empty values in order, best values by rank.
 

@@ -428,9 +428,9 @@ def merged_records(spark, folder):
 
     inc = incidents(spark, folder, "id", "title", "year", "source_ids", "cve_ids", "references")
     rows = identity.ranked(inc.select("id", "title", "year", "references", "cve_ids", "source_ids"), "id").select(
-        F.col("rank").alias("seq"), "id", identifiers("cve_ids").alias("cve"), identifiers("source_ids").alias("source"), F.array_distinct(F.filter(F.transform(F.col("references.url"), lambda u: normalize_url(u)), lambda u: u.isNotNull() & ~u.contains("/weekly/"))).alias("url"), title_key(F.col("title")).alias("title"), "year"
+        F.col("rank").alias("seq"), "id", identifiers("cve_ids").alias("cve"), identifiers("source_ids").alias("source"), F.array_distinct(F.filter(F.transform(F.col("references.url"), lambda u: normalize_url(u)), lambda u: u.isNotNull())).alias("url"), title_key(F.col("title")).alias("title"), "year"
     )
-    merged = identity.ordered_merge(rows)
+    merged = identity.ordered_merge(rows, round_ups="/weekly/")
     ids = rows.select("seq", "id")
     return merged.join(ids, "seq").join(ids.select(F.col("seq").alias("survivor"), F.col("id").alias("survivor_id")), "survivor").select("id", "survivor_id")
 
