@@ -52,7 +52,7 @@ def json_lines_rows(spark, folder):
     return spark.read.schema(rows.schema).json(at)
 
 
-@REGISTRY.add("csv_rows", rf"WITH {INC} SELECT id, nullif(trim(regexp_replace(affected, '[\r\n]+', ' / ', 'g')), '') AS affected, year::VARCHAR AS year, nullif(array_to_string(list_filter(tags, x -> x IS NOT NULL), '; '), '') AS tags FROM inc")
+@REGISTRY.add("csv_rows", rf"WITH {INC} SELECT id, nullif(trim(regexp_replace(affected, '[\r\n]+', ' / ', 'g')), '') AS affected, year::VARCHAR AS year, nullif(array_to_string(list_filter(tags, lambda x: x IS NOT NULL), '; '), '') AS tags FROM inc")
 def csv_rows(spark, folder):
     """Records written as CSV for spreadsheets and read back."""
     at = _place(spark, "csv")
