@@ -22,6 +22,14 @@ def day_range(text: Column) -> Column:
     "May 2024", year and month, and a year alone; a time of day is ignored.
     """
     t = F.lower(F.trim(text))
+    plain = t.try_cast("date")
+    # Plain ISO dates, by far the most, need no search through the other notations.
+    end = F.when(F.length(t) == 10, plain).when(F.length(t) == 7, F.last_day(plain)).otherwise(F.last_day(F.add_months(plain, 11)))
+    fast = F.when(plain.isNotNull(), F.struct(plain.alias("first"), end.alias("last")))
+    return F.when(t.rlike("^[12][0-9]{3}(?:-[01][0-9](?:-[0-3][0-9])?)?$"), fast).otherwise(_any_day_range(t))
+
+
+def _any_day_range(t: Column) -> Column:
     part = lambda pattern, group: F.regexp_extract(t, pattern, group)
     number = lambda pattern, group: part(pattern, group).try_cast("int")
     iso = r"^([12][0-9]{3})[-/.]([01]?[0-9])[-/.]([0-3]?[0-9])(?![0-9])"
