@@ -35,6 +35,8 @@ HUB_DAYS = 31
 #: Records of a hub page that are brought together with its reports at a time.
 PIECE = 2_000
 CONFIDENT = 0.5
+#: Steps of a word's weight, a natural logarithm; 15 bits hold weights below 32.
+WEIGHT_STEPS = 1 << 10
 
 #: Edges of the levels of the larger and of the smaller share of words found on the other side.
 MORE, LESS = (0.4, 0.6, 0.75, 0.85, 0.93), (0.2, 0.35, 0.55, 0.75)
@@ -191,12 +193,12 @@ def _block_rows(common, wanted=None, key_words: int = KEY_WORDS):
     return run
 
 
-def _split_links(hubs):
-    """Rows in: id, text, day, links.  The links apart by whether they are hubs."""
+def _split_links(hubs, common):
+    """Rows in: id, text, day, links.  The links apart by whether they are hubs, and the text's weighed words."""
 
     def run(batches):
         pages = hubs.value
-        for batch in batches:
+        for batch in (whole.slice(i, 4_000) for whole in batches for i in range(0, whole.num_rows, 4_000)):
             links = batch.column(3)
             sizes = np.diff(np.frombuffer(links.buffers()[1], np.int32)[links.offset : links.offset + len(links) + 1])
             flat = links.flatten().to_numpy(zero_copy_only=False)
@@ -204,7 +206,9 @@ def _split_links(hubs):
             at = np.minimum(np.searchsorted(pages, flat), max(0, len(pages) - 1))
             hub = pages[at] == flat if len(pages) else np.zeros(len(flat), bool)
             lists = [pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(np.bincount(row[m], minlength=len(links)))).astype(np.int32)), pa.array(flat[m], pa.int64())) for m in (~hub, hub)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=["id", "text", "day", "plain", "hub"])
+            packed, counts = weighed_words(batch.column(1).to_pylist(), common.value)
+            words = pa.Array.from_buffers(pa.binary(), len(batch), [None, pa.py_buffer((np.append(0, np.cumsum(counts)) * 8).astype(np.int32)), pa.py_buffer(packed.tobytes())])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists, words], names=["id", "text", "day", "plain", "hub", "words"])
 
     return run
 
@@ -232,51 +236,72 @@ def _has_digit(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(starts, begin, side="right") - 1, digits[end] > digits[begin]
 
 
-def word_answers(left: list[str], right: list[str], words_of: Words) -> np.ndarray:
-    """Columns: levels of the voters more, less, rare and digits, and the two shares' sum in millionths."""
-    n = len(left)
-    sides = []
-    for texts in (left, right):
-        docs, hashes = textscan.word_hashes(texts)
-        _, digit = _has_digit(texts)
-        order = np.lexsort((hashes, docs))
-        docs, hashes, digit = docs[order], hashes[order], digit[order]
-        new = np.ones(len(docs), dtype=bool)
-        new[1:] = (docs[1:] != docs[:-1]) | (hashes[1:] != hashes[:-1])
-        docs, hashes, digit = docs[new], hashes[new], digit[new]
-        # Counts are kept for numbered words; a word's first use has the hash of its upper 51 bits.
-        sides.append((docs, hashes, digit, words_of.weights(textscan.mix64(hashes >> np.uint64(13)))))
-    mark = [textscan.mix64(h + textscan.mix64(d.astype(np.uint64))) for d, h, _, _ in sides]
-    both = [np.isin(mark[0], mark[1]), np.isin(mark[1], mark[0])]
+def weighed_words(texts: list[str], words_of: Words) -> tuple[np.ndarray, np.ndarray]:
+    """The different words of each text, sorted, as 64-bit values, and how many each text has.
+
+    A value's upper 48 bits are the word's hash, the next tells whether it has a digit, the last 15 are its
+    weight in steps of 1 / WEIGHT_STEPS.
+    """
+    docs, hashes = textscan.word_hashes(texts)
+    _, digit = _has_digit(texts)
+    # Counts are kept for numbered words; a word's first use has the hash of its upper 51 bits.
+    weight = words_of.weights(textscan.mix64(hashes >> np.uint64(13)))
+    # A word that the right side uses more often than there are left entities weighs nothing.
+    steps = np.clip(np.round(weight * WEIGHT_STEPS), 0, (1 << 15) - 1).astype(np.uint64)
+    packed = (hashes & ~np.uint64(0xFFFF)) | (digit.astype(np.uint64) << np.uint64(15)) | steps
+    order = np.lexsort((packed, docs))
+    docs, packed = docs[order], packed[order]
+    new = np.ones(len(docs), dtype=bool)
+    new[1:] = (docs[1:] != docs[:-1]) | (packed[1:] != packed[:-1])
+    return packed[new], np.bincount(docs[new], minlength=len(texts))
+
+
+def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return np.ascontiguousarray(data).view(np.uint64), np.diff(offsets) // 8
+
+
+def word_answers(left: tuple[np.ndarray, np.ndarray], right: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Columns: levels of the voters more, less, rare and digits, and the two shares' sum in millionths.
+
+    Each side has the weighed words of its texts, one after another, and how many each text has.
+    """
+    n = len(left[1])
+    docs = [np.repeat(np.arange(n), sizes) for _, sizes in (left, right)]
+    # Of a pair's words in one row, equal neighbours stand on both sides.
+    key = np.concatenate([(d.astype(np.uint64) << np.uint64(48)) | (w >> np.uint64(16)) for d, (w, _) in zip(docs, (left, right))])
+    order = np.argsort(key, kind="stable")
+    twice = np.flatnonzero(key[order][1:] == key[order][:-1])
+    shared = np.zeros(len(key), bool)
+    shared[order[twice]] = shared[order[twice + 1]] = True
+    both = shared[: len(docs[0])], shared[len(docs[0]) :]
     covered, rare = [], []
-    for (docs, _, _, weight), here in zip(sides, both):
-        total = np.bincount(docs, weight, n)
-        covered.append(np.bincount(docs, weight * here, n) / np.maximum(total, 1e-9))
-        order = np.lexsort((-weight, docs))
-        starts = np.searchsorted(docs[order], np.arange(n))
-        place = np.arange(len(docs)) - starts[docs[order]]
+    for (words, sizes), doc, here in zip((left, right), docs, both):
+        weight = (words & np.uint64(0x7FFF)).astype(np.float64)
+        total = np.bincount(doc, weight, n)
+        covered.append(np.bincount(doc, weight * here, n) / np.maximum(total, 1e-9))
+        order = np.lexsort((-weight, doc))
+        place = np.arange(len(doc)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
         top = order[place < 3]
-        rare.append(np.bincount(docs[top], here[top], n).astype(np.int64))
-    docs, _, digit, _ = sides[1]
-    numbers, known = np.bincount(docs, digit, n), np.bincount(docs, digit & both[1], n)
+        rare.append(np.bincount(doc[top], here[top], n).astype(np.int64))
+    digit = (right[0] >> np.uint64(15)) & np.uint64(1) == 1
+    numbers, known = np.bincount(docs[1], digit, n), np.bincount(docs[1], digit & both[1], n)
     levels = [np.digitize(np.maximum(*covered), MORE), np.digitize(np.minimum(*covered), LESS)]
     digits = np.where(numbers == 0, 1, np.where(known == numbers, 2, 0))
     return np.stack([*levels, np.maximum(*rare), digits, np.round(1e6 * sum(covered)).astype(np.int64)], axis=1)
 
 
-def _answer(common):
-    def run(batches):
-        for batch in batches:
-            for first in range(0, batch.num_rows, 4_000):
-                part = batch.slice(first, 4_000)
-                if part.num_rows:
-                    found = word_answers(part.column(2).to_pylist(), part.column(3).to_pylist(), common.value)
-                    yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), part.column(4), *(pa.array(found[:, i].astype(np.int32)) for i in range(4)), part.column(5), pa.array(found[:, 4].astype(np.int32)), part.column(6)],
-                        names=["left_id", "right_id", "links", "more", "less", "rare", "digits", "dates", "weight", "apart"],
-                    )
-
-    return run
+def _answer(batches):
+    for batch in batches:
+        for first in range(0, batch.num_rows, 8_000):
+            part = batch.slice(first, 8_000)
+            if part.num_rows:
+                found = word_answers(_unpack(part.column(2)), _unpack(part.column(3)))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), part.column(1), part.column(4), *(pa.array(found[:, i].astype(np.int32)) for i in range(4)), part.column(5), pa.array(found[:, 4].astype(np.int32)), part.column(6)],
+                    names=["left_id", "right_id", "links", "more", "less", "rare", "digits", "dates", "weight", "apart"],
+                )
 
 
 class _Prepared:
@@ -300,7 +325,7 @@ class _Prepared:
 
         def hashed(df: DataFrame) -> DataFrame:
             kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select("id", "text", "day").schema)
-            return df.select("id", "text", "day", F.transform("urls", lambda u: F.xxhash64(u)).alias("links")).mapInArrow(_split_links(hubs), f"{kinds}, plain array<bigint>, hub array<bigint>")
+            return df.select("id", "text", "day", F.transform("urls", lambda u: F.xxhash64(u)).alias("links")).mapInArrow(_split_links(hubs, common), f"{kinds}, plain array<bigint>, hub array<bigint>, words binary")
 
         left, right = Cut(hashed(left), "left").read(), Cut(hashed(right), "right").read()
 
@@ -312,7 +337,7 @@ class _Prepared:
         pairs = of_right.withColumnRenamed("id", "right_id").join(of_left.withColumnRenamed("id", "left_id"), "key").select("left_id", "right_id")
         pairs = pairs.unionByName(_hub_pairs(left, right, pages)).distinct()
 
-        self.left, self.right, self.common, self.kinds, self.pairs = left, right, common, kinds, pairs
+        self.left, self.right, self.kinds, self.pairs = left, right, kinds, pairs
 
 
 def candidates(left: DataFrame, right: DataFrame, key_words: int = KEY_WORDS) -> DataFrame:
@@ -325,22 +350,22 @@ def link_entities(left: DataFrame, right: DataFrame, key_words: int = KEY_WORDS,
 
     With ``every`` all confident left ones come, with their ``rank`` from 1 in the order that decides otherwise.
     ``key_words`` is the number of rarest counted words that make blocks; more find pairs whose sides have more
-    counted words of their own, at the cost of its cube.  Both sides come from ``entities``.  Equal confidence goes to the larger share of words in common, the
-    nearer date, then the smaller id.  Empty texts, unknown dates and missing links leave their voters
+    counted words of their own, at the cost of its cube.  Both sides come from ``entities``.  Equal
+    confidence goes to the larger share of words in common, the nearer date, then the smaller id.  Empty texts, unknown dates and missing links leave their voters
     undecided; an empty side gives no rows.
     """
     spark = left.sparkSession
     ready = _Prepared(left, right, key_words)
-    left, right, common, kinds, pairs = ready.left, ready.right, ready.common, ready.kinds, ready.pairs
-    a = left.select(F.col("id").alias("left_id"), F.col("text").alias("left_text"), F.col("day").alias("left_day"), F.col("plain").alias("left_plain"), F.col("hub").alias("left_hub"))
-    b = right.select(F.col("id").alias("right_id"), F.col("text").alias("right_text"), F.col("day").alias("right_day"), F.col("plain").alias("right_plain"), F.col("hub").alias("right_hub"))
+    left, right, kinds, pairs = ready.left, ready.right, ready.kinds, ready.pairs
+    a = left.select(F.col("id").alias("left_id"), F.col("words").alias("left_words"), F.col("day").alias("left_day"), F.col("plain").alias("left_plain"), F.col("hub").alias("left_hub"))
+    b = right.select(F.col("id").alias("right_id"), F.col("words").alias("right_words"), F.col("day").alias("right_day"), F.col("plain").alias("right_plain"), F.col("hub").alias("right_hub"))
     gap = days_apart(F.col("left_day"), F.col("right_day"))
     exact = (F.col("left_day.first") == F.col("left_day.last")) & (F.col("right_day.first") == F.col("right_day.last"))
     links = F.when(F.arrays_overlap("left_plain", "right_plain"), 3).when(F.arrays_overlap("left_hub", "right_hub"), 2).when((F.size("right_plain") == 0) | (F.size("left_plain") == 0), 0).otherwise(1)
     dates = F.when(gap.isNull(), 0).when(~exact & (gap == 0), 3).when(gap <= 1, 1).when(gap <= 7, 2).when(gap <= 31, 4).otherwise(5)
-    joined = pairs.join(b, "right_id").join(a, "left_id").select("left_id", "right_id", "left_text", "right_text", links.alias("links"), dates.alias("dates"), F.coalesce(gap, F.lit(99_999)).alias("apart"))
+    joined = pairs.join(b, "right_id").join(a, "left_id").select("left_id", "right_id", "left_words", "right_words", links.alias("links"), dates.alias("dates"), F.coalesce(gap, F.lit(99_999)).alias("apart"))
     schema = f"left_id {kinds['left']}, right_id {kinds['right']}, links int, more int, less int, rare int, digits int, dates int, weight int, apart int"
-    answers = Cut(joined.mapInArrow(_answer(common), schema), "answers").read()
+    answers = Cut(joined.mapInArrow(_answer, schema), "answers").read()
 
     voters = ["links", "more", "less", "rare", "dates", "digits"]
     patterns = answers.groupBy(*voters).count().toPandas()
