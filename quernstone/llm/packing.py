@@ -101,17 +101,22 @@ def pack_texts(
     conflicts: dict[str, list[str]] | None = None,
     group_texts: int = GROUP_TEXTS,
     vocabulary: str = VOCABULARY,
+    clusters: DataFrame | None = None,
 ) -> DataFrame:
     """(limit_name, capacity_tokens, container, id, piece, first_token, tokens): where each text lies.
 
     Every row of the table lies once in each limit's containers, a text beyond the capacity in pieces of
     which only the last shares a container.  Texts that are equal but for case and outer blanks are one
-    duplicate cluster and never share a container; neither do sources named in ``conflicts``.  Texts of
+    duplicate cluster and never share a container; neither do sources named in ``conflicts``.  ``clusters``
+    (id, group_id) names wider ones, such as groups of near-duplicates; ids in none go by their text.  Texts of
     no tokens take no room.  Null ids and sources are allowed; limits that are null or below 1 give no
     rows; other columns are ignored, whatever their names.
     """
     spark = df.sparkSession
     sized = cut(token_counts(df, [F.col(id_column).alias("id"), F.col(source_column).cast("string").alias("source"), F.xxhash64(F.lower(F.trim(F.coalesce(F.col(text_column), F.lit(""))))).alias("cluster")], text_column, vocabulary), "tokens")
+    if clusters is not None:
+        wider = clusters.select("id", F.xxhash64(F.lit("group"), "group_id").alias("wider")).dropDuplicates(["id"])
+        sized = cut(sized.join(wider, "id", "left").withColumn("cluster", F.coalesce("wider", "cluster")).drop("wider"), "tokens")
     groups = max(1, round(sized.count() / group_texts))
     kind = sized.schema["id"].dataType.simpleString()
     # Limits are a configuration of a few rows.

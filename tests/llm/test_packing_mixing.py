@@ -54,6 +54,20 @@ def test_nothing_is_lost_or_split_without_need(spark):
     assert pack_texts(df, limits.limit(0), "doc_id", "text", "source").count() == 0
 
 
+def test_clusters_of_the_caller_keep_apart(spark):
+    df = spark.createDataFrame([(i, f"text number {i} of them", "s1", 0, "x") for i in range(40)] + [(None, "no id", "s1", 0, "x")], SCHEMA)
+    limits = spark.createDataFrame([("a", 200)], "limit_name string, capacity_tokens int")
+    clusters = spark.createDataFrame([(i, i % 4) for i in range(20)] + [(3, 1)], "id bigint, group_id int")
+    out = pack_texts(df, limits, "doc_id", "text", "source", clusters=clusters).collect()
+    held = defaultdict(list)
+    for r in out:
+        held[r.container].append(r.id)
+    assert sorted(i for v in held.values() for i in v if i is not None) == list(range(40)) and len(out) == 41
+    for ids in held.values():
+        own = [i % 4 for i in ids if i is not None and i < 20]
+        assert len(own) == len(set(own))
+
+
 def test_rates_beyond_the_range_of_exp():
     assert mixing.capped_mean(5000.0, 3) == 3 and abs(mixing.capped_mean(900.0, 2000) - 900) < 1e-6
     assert abs(sum(u >= t for t in mixing.thresholds(900.0, 2000) for u in (0.5,)) - 900) < 5
