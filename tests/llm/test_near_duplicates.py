@@ -129,6 +129,42 @@ def test_exact_finds_pairs_whose_own_words_are_common(spark):
     assert got <= found(spark, texts, exact=True) == want == all_pairs(texts, 0.75)
 
 
+def test_pairs_whose_rarest_common_words_all_differ(spark):
+    rng = random.Random(9)
+    pick = lambda: [f"w{j}" for j in rng.sample(range(600), 180)]
+    texts, want = {f"f{i:03}": " ".join(pick()) for i in range(100)}, set()
+    for i in range(50):
+        shared = pick()
+        texts |= {f"p{i:02}{side}": " ".join(shared + [f"{side}m{j}" for j in rng.sample(range(50), 40)]) for side in "ab"}
+        want.add((f"p{i:02}a", f"p{i:02}b"))
+    assert not want & found(spark, texts, exact=False)
+    assert found(spark, texts) == want
+
+
+@pytest.mark.parametrize("pieces", [None, 90])
+def test_all_pairs_are_found_without_asking(spark, monkeypatch, pieces):
+    if pieces:
+        monkeypatch.setattr(nd, "LEAST_ROWS", pieces)
+        monkeypatch.setattr(nd, "PIECES", 100)
+    for own in (40, 55):
+        texts, want = pairs_with_own_words(own, "common")
+        assert found(spark, texts) == want == all_pairs(texts, 0.75)
+    texts = corpus(random.Random(8), 500)
+    texts = {i: t for t, i in {t: i for i, t in texts.items()}.items()}
+    assert found(spark, texts) == all_pairs(texts, 0.75)
+
+
+def test_every_two_pieces_of_like_sizes_meet_once():
+    sizes = [(3, 5), (4, 50), (5, 4), (6, 7), (7, 1), (9, 30), (40, 2)]
+    dealt, meets = nd._pieces(sizes, 10, 0.75)
+    of = dict(meets)
+    for (x, i, m), (y, j, n) in itertools.product(dealt, dealt):
+        for p, q in itertools.product(range(i, i + m), range(j, j + n)):
+            both = {t for t, alone in of[p] if alone == (p == q)} & {t for t, alone in of[q] if alone == (p == q)}
+            assert len(both) == 1 if min(x, y) >= 0.75 * max(x, y) else len(both) <= 1
+    assert nd._pieces([], 10, 0.75) == ([], [])
+
+
 def test_all_choices_find_all_pairs_of_short_records(spark):
     rng = random.Random(3)
     texts = {f"s{i:04}": " ".join(f"w{min(int(rng.expovariate(0.12)), 40)}" for _ in range(rng.randint(3, 14))) for i in range(500)}
