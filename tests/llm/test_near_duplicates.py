@@ -165,6 +165,32 @@ def test_every_two_pieces_of_like_sizes_meet_once():
     assert nd._pieces([], 10, 0.75) == ([], [])
 
 
+@pytest.mark.parametrize("ranked", [0, 40, 300])
+def test_bits_by_rank_drop_no_pair_and_tell_others_apart(ranked):
+    rng = np.random.default_rng(5)
+    # Words of falling frequency; 30 of the 400 records are edited copies.
+    chance = 1 / np.arange(1, 1501)
+    sets = [set(rng.choice(1500, rng.integers(3, 200), replace=False, p=chance / chance.sum()).tolist()) for _ in range(370)]
+    sets += [set(rng.permutation(sorted(s))[: max(1, int(len(s) * rng.uniform(0.75, 1)))].tolist()) | {2000 + i} for i, s in enumerate(sets[:30])]
+    sets.sort(key=len)
+    size = np.array([len(s) for s in sets])
+    words = np.concatenate([sorted(s) for s in sets])
+    bits = nd.ranked_signatures(size, textscan.mix64(words.astype(np.uint64)), np.where(words < ranked, words, -1)).view(np.uint64)
+    want = {(i, j) for i, j in itertools.combinations(range(len(sets)), 2) if len(sets[i] & sets[j]) >= 0.75 * max(len(sets[i]), len(sets[j]))}
+    pairs = [(int(x), int(y)) for a, b in signature_forest.every_pair(size, bits, size, bits, 0.75, True) for x, y in zip(a, b)]
+    assert len(want) >= 20 and want <= set(pairs) and len(set(pairs)) == len(pairs) < 3 * len(want)
+    half = len(sets) // 2
+    across = {(int(x), int(y) + half) for a, b in signature_forest.every_pair(size[:half], bits[:half], size[half:], bits[half:], 0.75) for x, y in zip(a, b)}
+    assert across == {(x, y) for x, y in pairs if x < half <= y}
+
+
+@pytest.mark.parametrize("each", [50, 2_000, 20_000])
+def test_a_class_is_sent_to_few_pieces_at_every_size(each):
+    sizes = [(s, each) for s in range(100, 160)]
+    dealt, meets = nd._pieces(sizes, max(nd.LEAST_ROWS, -(-60 * each // nd.PIECES)), 0.75)
+    assert np.mean([len(m) for _, m in meets]) <= 6.5
+
+
 def test_all_choices_find_all_pairs_of_short_records(spark):
     rng = random.Random(3)
     texts = {f"s{i:04}": " ".join(f"w{min(int(rng.expovariate(0.12)), 40)}" for _ in range(rng.randint(3, 14))) for i in range(500)}
