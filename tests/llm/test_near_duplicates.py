@@ -191,6 +191,28 @@ def test_a_class_is_sent_to_few_pieces_at_every_size(each):
     assert np.mean([len(m) for _, m in meets]) <= 6.5
 
 
+def test_as_many_rows_move_for_each_class_in_tables_of_any_size():
+    def sent(each):
+        sizes = [(s, each) for s in range(100, 160)]
+        return np.mean([len(m) for _, m in nd._pieces(sizes, min(nd.MOST_ROWS, max(nd.LEAST_ROWS, -(-60 * each // nd.PIECES))), 0.75)[1]])
+
+    assert sent(320) == pytest.approx(sent(3_200), rel=0.1) and sent(320) == pytest.approx(sent(32_000), rel=0.1)
+
+
+def test_words_are_looked_for_in_wanted_texts_only(monkeypatch):
+    import pyarrow as pa
+
+    texts = ["one two", "two three", "", "one two", "four"]
+
+    class Wanted:
+        value = type("Two", (), {"may_hold": staticmethod(lambda contents: np.isin(contents, nd._contents(["two three", "four"])))})
+
+    seen, bags = [], nd._bags
+    monkeypatch.setattr(nd, "_bags", lambda t: seen.extend(t) or bags(t))
+    rows = [b for b in nd._word_lists(Wanted)([pa.RecordBatch.from_arrays([pa.array(texts)], names=["t"])])]
+    assert seen == ["two three", "four"] and sum(b.num_rows for b in rows) == 2
+
+
 def test_all_choices_find_all_pairs_of_short_records(spark):
     rng = random.Random(3)
     texts = {f"s{i:04}": " ".join(f"w{min(int(rng.expovariate(0.12)), 40)}" for _ in range(rng.randint(3, 14))) for i in range(500)}
