@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quernstone.functions.dates import day_range, days_apart
+from quernstone.llm import linkage, linkage_tiles
 from quernstone.llm.label_model import LabelModel, State
 from quernstone.llm.linkage import _hub_pairs, candidates, entities, link_entities
 
@@ -155,3 +156,61 @@ def test_hub_pairs_are_all_pairs_of_compatible_days(spark):
     gap = days_apart(F.col("a.day"), F.col("b.day"))
     want = {(x, y) for x, y in frames[0].alias("a").crossJoin(frames[1].alias("b")).where(gap.isNull() | (gap <= 31)).select("a.id", "b.id").collect()}
     assert 0 < len(want) < 120 * 120 and got == want
+
+
+def crowded(rng, n):
+    """Happenings with hub pages, several links, copies of texts, and dates that are rough, far or unknown."""
+    left, right, _ = world(rng, n)
+    hubs = [f"https://news.example/weekly/round-up-{i}" for i in range(3)]
+    day = lambda at: rng.choice([at, at, at[:7], at[:4], None, "soon", "2019-01-15", "31 January 2024"])
+    urls = lambda links: rng.choice([links, None, [rng.choice(hubs)], [*(links or []), *rng.sample(hubs, 2)], hubs])
+    mixed = [[(i, rng.choice([title, title, "", f"{title} {title}", None]), day(at), urls(links), 1, "x") for i, title, at, links, _, _ in rows] for rows in (left, right)]
+    return [[*rows, ("same", "Quillmark Agent 77123 found", None, hubs, 1, "x")] for rows in mixed]
+
+
+@pytest.mark.parametrize("tile", [16_000, 40])
+def test_tiles_hold_every_candidate_once(spark, monkeypatch, tile):
+    monkeypatch.setattr(linkage, "TILE", dict.fromkeys(linkage.TILE, tile))
+    sides = [entities(spark.createDataFrame(rows, LEFT), "id", "title", "date", F.col("urls"), "at") for rows in crowded(random.Random(7), 240)]
+    want = {(r.left_id, r.right_id) for r in candidates(*sides).collect()}
+    ready = linkage._Prepared(*sides, linkage.KEY_WORDS)
+    every = np.ones(linkage_tiles.PATTERNS, bool)
+    rows = ready.answers(every, linkage_tiles.ALL).collect()
+    pairs = [r for r in rows if r.left_id is not None]
+    assert len(pairs) == len({(r.left_id, r.right_id) for r in pairs}) and {(r.left_id, r.right_id) for r in pairs} == want
+    assert sum(r.n for r in rows) == len(want) > 1_000
+
+    # The answers of whole pairs, as rows, are those of the tiles.
+    a, b = (df.select(F.col("id").alias(f"{side}_id"), F.col("words").alias(f"{side}_words"), F.col("day").alias(f"{side}_day"), F.col("plain").alias(f"{side}_plain"), F.col("hub").alias(f"{side}_hub")) for side, df in (("left", ready.left), ("right", ready.right)))
+    gap = F.greatest(F.lit(0), F.datediff("left_day.first", "right_day.last"), F.datediff("right_day.first", "left_day.last"))
+    links = F.when(F.arrays_overlap("left_plain", "right_plain"), 3).when(F.arrays_overlap("left_hub", "right_hub"), 2).when((F.size("right_plain") == 0) | (F.size("left_plain") == 0), 0).otherwise(1)
+    rough = (F.col("left_day.first") != F.col("left_day.last")) | (F.col("right_day.first") != F.col("right_day.last"))
+    dates = F.when(rough & (gap == 0), 3).when(gap <= 1, 1).when(gap <= 7, 2).when(gap <= 31, 4).otherwise(5)
+    joined = ready.pairs().join(a, "left_id").join(b, "right_id").select("left_id", "right_id", "left_words", "right_words", links.alias("links"), dates.alias("dates"), gap.alias("apart"))
+    schema = "left_id string, right_id string, links int, more int, less int, rare int, digits int, dates int, weight int, apart int"
+    whole = {(r.left_id, r.right_id): r for r in joined.mapInArrow(linkage._answer, schema).collect()}
+    for r in pairs:
+        w = whole[r.left_id, r.right_id]
+        assert tuple(linkage_tiles.pattern_levels(np.array([r.pattern]))[0]) == tuple(w[v] for v in linkage.VOTERS), (r, w)
+        assert (r.weight, r.apart) == (w.weight, w.apart)
+
+    # Of each right entity and pattern the tiles give the best.
+    order = lambda r: (-r.weight, r.apart, r.left_id)
+    best = lambda rows: {(r.right_id, r.pattern): order(r) for r in sorted((r for r in rows if r.left_id is not None), key=order, reverse=True)}
+    assert best(ready.answers(every).collect()) == best(pairs)
+
+
+def test_crowded_pages_do_not_fill_the_disk(spark, monkeypatch):
+    """Pairs of a hub page grow with the square of its citers; what is written must not."""
+    written = []
+
+    class Counted(linkage.Cut):
+        def __init__(self, df, name):
+            super().__init__(df, name)
+            written.append(self.read().count())
+
+    monkeypatch.setattr(linkage, "Cut", Counted)
+    hub = ["https://news.example/weekly/round-up"]
+    rows = [[(f"{side}{i:04}", f"Corrin Agent {side}{i}: path traversal", f"2024-03-{1 + i % 28:02}", hub, 1, "x") for i in range(600)] for side in ("a", "b")]
+    link(spark, *rows).count()
+    assert max(written) < 600 * 600 / 10, written
